@@ -36,3 +36,14 @@ def utc_seconds(ts: Column) -> Column:
 def micros(ts: Column) -> Column:
     """Microseconds since the epoch; the session runs in UTC."""
     return F.unix_micros(ts.cast("timestamp"))
+
+
+def salted_lookup(df: DataFrame, lookup: DataFrame, key: str, salts: int = 8) -> DataFrame:
+    """Left join to a lookup table of one row per key; a hot key's rows are spread over ``salts`` tasks.
+
+    Where the lookup is small Spark broadcasts it by its size, and the salt costs nothing.
+    """
+    rest = [c for c in df.columns if c != key]
+    salt = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int") if rest else F.lit(0)
+    copies = lookup.withColumn("__salt", F.explode(F.lit(list(range(salts)))))
+    return df.withColumn("__salt", salt).join(copies, [key, "__salt"], "left").drop("__salt")
