@@ -324,7 +324,8 @@ def clean(text: str) -> tuple[str, dict[str, int]]:
     counts = dict.fromkeys(("heading", "item", "row", "code", "formula"), 0)
     if not markup_kinds(text):
         return text, counts
-    text = _ESCAPED.sub(lambda m: html.unescape(m.group()), text)
+    if _ESCAPED.search(text):
+        text = html.unescape(text)
     ordinary = [m.group() for m in _ORDINARY.finditer(text)]
     hidden = _ORDINARY.sub(lambda m, i=iter(range(len(ordinary))): f"\ue003{next(i)}\ue002", text)
     kept: list[str] = []
