@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions.tsql import after_first, avg_int, ci_in, ci_like, datediff_boundaries, gzip_length, iso_seconds, tsql_len
 from palimpsest.operators.curate import merge_counts, needed_revisions, ordinal_in_group, retained, upsert
+from palimpsest.operators.derive import pages_table, revisions_table
 from palimpsest.plans.tables import table
+from palimpsest.sources.dump import parse_page, to_page_xml, to_revision_xml
 
 #: Bounds of the histogram of revisions per page; null: no upper bound.
 STRICT_BOUNDS = (
@@ -517,6 +519,18 @@ def stat_6_pages_per_namespace(spark, d):
     return r.groupBy(F.col("namespace_id").alias("NamespaceID")).agg(F.count(F.lit(1)).alias("Pages"))
 
 
+def ing_1_round_trip(spark, d):
+    """Every document written as a one-revision page of a dump and parsed back: id, title and text hash."""
+    docs = table(spark, d, "documents")
+    revision = to_revision_xml(F.col("doc_id"), F.col("fetched_at"), F.lit("A & B"), F.col("text"))
+    xml = to_page_xml(F.col("title"), F.lit(0), F.col("doc_id"), revision)
+    pages = docs.select(parse_page(xml).alias("page")).select("page.*")
+    return revisions_table(pages).join(pages_table(pages), ["namespace_id", "page_id"]).select(
+        F.col("page_id").alias("doc_id"), F.col("page_name").alias("title"), F.md5("article_text").alias("text_hash"),
+        F.col("article_text_length").cast("long").alias("n_chars"), "user_name",
+    )
+
+
 def set_1_counts_union(spark, d):
     """The one set operation of the reference: named counts, one below the other."""
     return (
@@ -527,5 +541,5 @@ def set_1_counts_union(spark, d):
 
 QUERIES = {
     name: f for name, f in list(globals().items())
-    if name.split("_")[0] in ("scan", "agg", "join", "top", "comp", "cur", "stat", "set") and callable(f)
+    if name.split("_")[0] in ("scan", "agg", "join", "top", "comp", "cur", "stat", "set", "ing") and callable(f)
 }

@@ -144,4 +144,5 @@ SELECT page_id, page_name, (SELECT min(q.page_name) FROM p q WHERE split_part(q.
   ORDER BY length(comment) DESC, page_revision_id LIMIT 1""",
     "stat_6_pages_per_namespace": 'SELECT namespace_id AS "NamespaceID", count(DISTINCT page_id) AS "Pages" FROM page_revision GROUP BY 1',
     "set_1_counts_union": """SELECT 'Pages' AS "What", count(*) AS "Count" FROM wiki_page UNION ALL SELECT 'Revisions', count(*) FROM page_revision""",
+    "ing_1_round_trip": "SELECT doc_id, title, md5(text) AS text_hash, n_chars, 'A & B' AS user_name FROM documents",
 }
