@@ -22,44 +22,46 @@ TREE_SCHEMA = "level int, node long, digest long, rows long"
 def merkle_tree(rows: DataFrame, key: str, version: list[str], leaf_width: int = 1024, fanout: int = 16, levels: int = 6) -> DataFrame:
     """(level, node, digest, rows); level 0 holds the leaves, ``levels`` the topmost nodes.
 
-    A digest is the wrapped sum of 64-bit hashes, so it does not depend on row order and is combined before the shuffle; a hot range
-    sends one partial digest per task.  Null keys take no part.
+    A leaf's digest combines the 64-bit hashes of its rows as exact sums, so it does not depend on row order and is partly combined
+    before the shuffle; a hot range sends one partial sum per task.  A node above combines the digests of the leaves below it, all
+    levels in one grouping of the short table of leaves.  Null keys take no part.
     """
     require_columns(rows, key, *version)
     leaf = F.floor(F.col(key).cast("long") / F.lit(leaf_width)).cast("long")
+    halves = lambda h: (h.bitwiseAND(F.lit(0xFFFFFFFF)).alias("low"), F.shiftright(h, 32).alias("high"))
     own = F.xxhash64(F.col(key).cast("long"), *[F.col(c) for c in version])
-    # Sums of the two halves cannot overflow, whatever the session's ANSI mode.
-    low, high = own.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftright(own, 32)
-    level = (
+    leaves = (
         rows.where(F.col(key).isNotNull())
-        .select(leaf.alias("node"), low.alias("low"), high.alias("high"))
+        .select(leaf.alias("node"), *halves(own))
         .groupBy("node")
         .agg(F.xxhash64(F.sum("low"), F.sum("high"), F.count(F.lit(1))).alias("digest"), F.count(F.lit(1)).alias("rows"))
     )
-    tree = level.select(F.lit(0).alias("level"), "node", "digest", "rows")
-    for n in range(1, levels + 1):
-        h = F.xxhash64("node", "digest")
-        level = (
-            level.select(F.floor(F.col("node") / fanout).cast("long").alias("up"), h.bitwiseAND(F.lit(0xFFFFFFFF)).alias("low"), F.shiftright(h, 32).alias("high"), "rows")
-            .groupBy("up")
-            .agg(F.xxhash64(F.sum("low"), F.sum("high")).alias("digest"), F.sum("rows").alias("rows"))
-            .withColumnRenamed("up", "node")
-        )
-        tree = tree.unionByName(level.select(F.lit(n).alias("level"), "node", "digest", "rows"))
-    return tree
-
-
-def changed_leaves(current: DataFrame, saved: DataFrame, fanout: int = 16, levels: int = 6) -> DataFrame:
-    """(leaf) of the key ranges whose digests differ; both trees must be materialised.  Only children of differing nodes are read."""
+    above = F.explode(F.array(*[F.struct(F.lit(n).alias("level"), F.lit(fanout**n).alias("span")) for n in range(levels + 1)]))
+    spread = leaves.select(above.alias("up"), "node", "digest", "rows")
+    node = F.floor(F.col("node") / F.col("up.span")).cast("long")
+    return (
+        spread.select(F.col("up.level").alias("level"), node.alias("node"), *halves(F.xxhash64("node", "digest")), "rows")
+        .groupBy("level", "node")
+        .agg(F.xxhash64(F.sum("low"), F.sum("high")).alias("digest"), F.sum("rows").alias("rows"))
+    )
+
+
+def changed_leaves(current: DataFrame, saved: DataFrame, scratch: Scratch, fanout: int = 16, levels: int = 6) -> DataFrame:
+    """(leaf) of the key ranges whose digests differ; both trees must be materialised.
+
+    From the topmost level down, only children of differing nodes are compared; each level's differing nodes are a short table.
+    """
     frontier: DataFrame | None = None
     for n in range(levels, -1, -1):
-        new = current.where(F.col("level") == n).select("node", "digest")
-        old = saved.where(F.col("level") == n).select("node", F.col("digest").alias("old"))
-        if frontier is not None:
-            new = new.withColumn("up", F.floor(F.col("node") / fanout).cast("long")).join(frontier, "up", "left_semi").drop("up")
-            old = old.withColumn("up", F.floor(F.col("node") / fanout).cast("long")).join(frontier, "up", "left_semi").drop("up")
-        differ = new.join(old, "node", "full").where(~F.col("digest").eqNullSafe(F.col("old")))
-        frontier = differ.select(F.col("node").alias("up"))
+        sides = []
+        for tree, name in ((current, "digest"), (saved, "old")):
+            side = tree.where(F.col("level") == n).select("node", F.col("digest").alias(name))
+            if frontier is not None:
+                up = F.floor(F.col("node") / fanout).cast("long")
+                side = side.withColumn("up", up).join(frontier, "up", "left_semi").drop("up")
+            sides.append(side)
+        differ = sides[0].join(sides[1], "node", "full").where(~F.col("digest").eqNullSafe(F.col("old")))
+        frontier = scratch.write(differ.select(F.col("node").alias("up")), f"level-{n}")
     return frontier.withColumnRenamed("up", "leaf")
 
 
@@ -76,7 +78,7 @@ def changed_rows(
     before = scratch.write(saved.where(F.col(key).isNotNull()).select(*shape), "saved")
     new_tree = scratch.write(merkle_tree(now, key, version, leaf_width), "tree")
     old_tree = saved_tree if saved_tree is not None else scratch.write(merkle_tree(before, key, version, leaf_width), "saved-tree")
-    leaves = scratch.write(changed_leaves(new_tree, old_tree), "leaves")
+    leaves = changed_leaves(new_tree, old_tree, scratch)
     leaf = F.floor(F.col(key) / F.lit(leaf_width)).cast("long")
     now = now.withColumn("leaf", leaf).join(leaves, "leaf", "left_semi").drop("leaf")
     before = before.withColumn("leaf", leaf).join(leaves, "leaf", "left_semi").drop("leaf")
