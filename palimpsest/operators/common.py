@@ -47,3 +47,12 @@ def salted_lookup(df: DataFrame, lookup: DataFrame, key: str, salts: int = 8) ->
     salt = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int") if rest else F.lit(0)
     copies = lookup.withColumn("__salt", F.explode(F.lit(list(range(salts)))))
     return df.withColumn("__salt", salt).join(copies, [key, "__salt"], "left").drop("__salt")
+
+
+def spread(df: DataFrame, per_core: int = 4) -> DataFrame:
+    """``df`` in enough partitions to keep all cores busy with work that costs far more than its bytes suggest.
+
+    An input that has two partitions a core or more is left as it is, so large inputs are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(per_core * cores)
