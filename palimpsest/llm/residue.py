@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.operators.common import spread
 from palimpsest.scratch import Scratch
 
 SHINGLE_WORDS = 5
@@ -157,6 +158,24 @@ _MENTION = r"(?iu)" + "|".join(MENTIONS)
 _MOCK = r"(?iu)^\W*(?:(?:" + "|".join(sorted(LATIN.split(), key=len, reverse=True)) + r")+[\s,.;]+){7,}"
 
 
+#: One pass over a whole text that no text with residue fails: a sentence may start with a form, or a field's bracket or mark occurs.
+_START = r"(?:^|\n|[.!?]\s+|[。！？]\s*)[\s\p{P}]{0,3}"
+_PERHAPS = (
+    rf"(?iu){_START}(?:{'|'.join((*ERRORS, *SCRIPTS, *FILLERS))})".replace(r"\s*$", ""),
+    rf"(?iu){_START}\W*(\p{{L}}{{2,}})[\s,]+\1\b",
+    rf"(?iu){_START}\W*(?:(?:{'|'.join(sorted(LATIN.split(), key=len, reverse=True))})+[\s,.;]+){{4}}",
+)
+_MARKS = r"[{}<>@%\[\]#$]|__|PLACEHOLDER"
+
+
+def perhaps_residue(text: Column) -> Column:
+    """A cheap condition that ``has_residue`` and ``is_residue`` imply."""
+    found = text.rlike(_MARKS)
+    for form in _PERHAPS:
+        found = found | text.rlike(form)
+    return F.coalesce(found, F.lit(False))
+
+
 def _sentences(text: Column) -> Column:
     return F.split(text, _SENTENCE)
 
@@ -172,14 +191,14 @@ def _direct(sentence: Column) -> Column:
 
 def has_residue(text: Column) -> Column:
     """Whether any sentence of a text is residue by its form or holds an unfilled placeholder; null: false."""
-    return F.coalesce(F.exists(_sentences(text), _direct), F.lit(False))
+    return F.when(perhaps_residue(text), F.exists(_sentences(text), _direct)).otherwise(F.lit(False))
 
 
 def is_residue(paragraph: Column) -> Column:
     """Whether sentences that are residue by their form make up at least half of a paragraph."""
     parts = _sentences(paragraph)
     size = F.aggregate(F.transform(F.filter(parts, _trusted), F.length), F.lit(0), lambda a, n: a + n)
-    return F.coalesce((size > 0) & (2 * size >= F.length(paragraph)), F.lit(False))
+    return F.when(perhaps_residue(paragraph), (size > 0) & (2 * size >= F.length(paragraph))).otherwise(F.lit(False))
 
 
 _WORDS = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]|[\p{L}\p{M}]+|\d+")
@@ -215,36 +234,37 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def _tables(units: DataFrame) -> DataFrame:
-    """One row per unit and SimHash table; a table's key is a pair of blocks at their places."""
+def _tables(prints: DataFrame) -> DataFrame:
+    """One row per (simhash, n) and SimHash table; a table's key is a pair of blocks at their places."""
     width = 64 // BLOCKS
     block = [F.shiftrightunsigned("simhash", width * i).bitwiseAND((1 << width) - 1) for i in range(BLOCKS)]
     keys = [block[a] * (1 << width) + block[b] + ((a * BLOCKS + b) << (2 * width)) for a, b in combinations(range(BLOCKS), 2)]
-    return units.withColumn("key", F.explode(F.array(*keys)))
+    return prints.withColumn("key", F.explode(F.array(*keys)))
 
 
 def residue_units(units: DataFrame, scratch: Scratch, rounds: int = 50) -> DataFrame:
     """(unit) of all units in a connected component with a trusted one.  ``units``: unit, trusted, simhash, shingles.
 
     The search starts at the trusted units and adds verified neighbours round by round, so buckets of ordinary text are never
-    paired with each other; it ends when a round adds none.
+    paired with each other; it ends when a round adds none.  The tables hold each distinct (simhash, number of shingles) once.
     """
-    hashed = units.where(F.col("simhash").isNotNull())
-    others = scratch.write(_tables(hashed.where(~F.col("trusted")).select("unit", "simhash", F.size("shingles").alias("n"))), "tables")
+    sized = units.where(F.col("simhash").isNotNull()).withColumn("n", F.size("shingles"))
+    prints = scratch.write(sized.where(~F.col("trusted")).select("simhash", "n").distinct(), "prints")
     frontier = scratch.write(units.where("trusted").select("unit", "simhash", "shingles"), "trusted")
     reached = frontier.select("unit")
     for _ in range(rounds):
-        probe = _tables(frontier.where(F.col("simhash").isNotNull()).select("unit", "simhash", F.size("shingles").alias("n")))
-        probe = probe.select(F.col("unit").alias("from"), F.col("simhash").alias("simhash2"), F.col("n").alias("n2"), "key")
+        asked = frontier.where(F.col("simhash").isNotNull()).select("simhash", F.size("shingles").alias("n")).distinct()
+        probe = _tables(asked).select(F.col("simhash").alias("simhash2"), F.col("n").alias("n2"), "key")
         near = (F.bit_count(F.col("simhash").bitwiseXOR(F.col("simhash2"))) <= HAMMING) & (
             F.least("n", "n2") >= SIMILARITY * F.greatest("n", "n2")
         )
-        pairs = others.join(probe, "key").where(near).select("unit", "from").distinct()
-        pairs = pairs.join(hashed.select("unit", F.col("shingles").alias("s1")), "unit")
-        pairs = pairs.join(frontier.select(F.col("unit").alias("from"), F.col("shingles").alias("s2")), "from")
+        pairs = _tables(prints).join(probe, "key").where(near).select("simhash", "n", "simhash2", "n2").distinct()
+        theirs = frontier.select(F.col("simhash").alias("simhash2"), F.size("shingles").alias("n2"), F.col("shingles").alias("s2"))
+        mine = sized.where(~F.col("trusted")).select("unit", "simhash", "n", F.col("shingles").alias("s1"))
+        both = pairs.join(theirs.distinct(), ["simhash2", "n2"]).join(mine, ["simhash", "n"])
         same = F.size(F.array_intersect("s1", "s2"))
-        close = pairs.where(same >= SIMILARITY * (F.size("s1") + F.size("s2") - same)).select("unit").distinct()
-        fresh = close.join(reached, "unit", "left_anti").join(hashed.select("unit", "simhash", "shingles"), "unit")
+        close = both.where(same >= SIMILARITY * (F.col("n") + F.col("n2") - same)).select("unit").distinct()
+        fresh = close.join(reached, "unit", "left_anti").join(sized.select("unit", "simhash", "shingles"), "unit")
         frontier = scratch.write(fresh, "frontier")
         if not frontier.take(1):
             break
@@ -259,15 +279,16 @@ def residue_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     """
     scratch = Scratch(docs.sparkSession, "residue")
     rows = docs.where(F.col(doc_id).isNotNull() & (F.length(text) > 0)).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = spread(rows)
     paragraphs = rows.select("doc_id", F.explode(F.split("text", r"\n\s*\n")).alias("paragraph")).where(F.length("paragraph") > 0)
     keyed = paragraphs.withColumn("unit", F.md5(F.regexp_replace(F.lower("paragraph"), r"\d+", "0")))
     distinct = keyed.groupBy("unit").agg(F.min("paragraph").alias("paragraph"), F.max(is_residue(F.col("paragraph"))).alias("trusted"))
     schema = "unit string, trusted boolean, simhash long, shingles array<long>"
     units = scratch.write(distinct.mapInArrow(_fingerprints, schema), "units")
     labelled = scratch.write(residue_units(units, scratch), "labelled")
-    spread = keyed.select("doc_id", "unit").join(labelled, "unit", "left_semi").select("doc_id")
+    passed_on = keyed.select("doc_id", "unit").join(labelled, "unit", "left_semi").select("doc_id")
     direct = rows.where(has_residue(F.col("text"))).select("doc_id")
-    return direct.unionByName(spread).distinct()
+    return direct.unionByName(passed_on).distinct()
 
 
 def without_residue(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
