@@ -23,6 +23,8 @@ import regex as re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.operators.common import spread
+
 # Names of HTML elements (with those of wiki extensions) and what they stand for.
 BLOCK = "p div section article main header footer nav aside blockquote center figure figcaption address form fieldset dl dt dd body html hr".split()
 HEADINGS = "h1 h2 h3 h4 h5 h6".split()
@@ -319,10 +321,13 @@ def content_nodes(nodes: list[Node], keep_share: float = 0.1) -> list[Node]:
     return keep
 
 
-def clean(text: str) -> tuple[str, dict[str, int]]:
-    """Clean text and the number of headings, items, rows, code blocks and formulas.  A text without markup stays as it is."""
+def clean(text: str, kinds: set[str] | None = None) -> tuple[str, dict[str, int]]:
+    """Clean text and the number of headings, items, rows, code blocks and formulas.  A text without markup stays as it is.
+
+    ``kinds`` is the result of ``markup_kinds`` where it is known.
+    """
     counts = dict.fromkeys(("heading", "item", "row", "code", "formula"), 0)
-    if not markup_kinds(text):
+    if not (markup_kinds(text) if kinds is None else kinds):
         return text, counts
     if _ESCAPED.search(text):
         text = html.unescape(text)
@@ -381,7 +386,7 @@ def _solve(text_column: str, id_column: str):
         for b in batches:
             texts = b.column(text_column).to_pylist()
             kinds = [None if t is None else sorted(markup_kinds(t)) for t in texts]
-            done = [(None, {}) if t is None else clean(t) if k else (t, {}) for t, k in zip(texts, kinds)]
+            done = [(None, {}) if t is None else clean(t, k) if k else (t, {}) for t, k in zip(texts, kinds)]
             column = lambda name: pa.array([c.get(name, 0) for _, c in done], pa.int32())
             yield pa.RecordBatch.from_pydict(
                 {
@@ -397,10 +402,10 @@ def _solve(text_column: str, id_column: str):
 
 
 def clean_markup(df: DataFrame, *, id_column: str, text: str) -> DataFrame:
-    """(id, markup, clean_text, headings, items, rows, code_blocks, formulas), one row per input row, without a shuffle.
+    """(id, markup, clean_text, headings, items, rows, code_blocks, formulas), one row per input row.
 
     ``markup`` lists the kinds found, '' for none.  A null text gives null markup and text and no structure; an empty text is clean.
     """
     kind = dict(df.dtypes)[id_column]
     schema = f"{id_column} {kind}, markup string, clean_text string, headings int, items int, rows int, code_blocks int, formulas int"
-    return df.select(F.col(id_column), F.col(text).alias("__text")).mapInArrow(_solve("__text", id_column), schema)
+    return spread(df.select(F.col(id_column), F.col(text).alias("__text"))).mapInArrow(_solve("__text", id_column), schema)
