@@ -39,25 +39,35 @@ def is_broken(value: Column) -> Column:
     return F.coalesce(value.rlike(BROKEN), F.lit(False))
 
 
+def measured(values: DataFrame, value: str) -> DataFrame:
+    """``values`` with what the tests need of a value: its lengths, whether it is open, whether it is broken, and how it ends."""
+    v = F.col(value)
+    opened = values.withColumns({"__chars": F.length(v), "__bytes": F.octet_length(v), "__open": is_open(v)})
+    half = v.rlike(r"�\s*$")
+    broken = F.when(F.col("__open") | half, is_broken(v)).otherwise(F.lit(False))
+    return opened.withColumns({"__broken": broken, "__half": half, "__end": F.when(F.col("__open"), _ending(v))})
+
+
 def length_limits(
-    values: DataFrame, group: list[str], value: str, *, window: int = 24, least: int = 3, ratio: float = 5.0, beyond: float = 0.05
+    values: DataFrame, group: list[str], *, window: int = 24, least: int = 3, ratio: float = 5.0, beyond: float = 0.05
 ) -> DataFrame:
     """(*group, unit, limit) of the groups whose lengths have a spike at the maximum; ``unit`` is 'chars' or 'bytes'.
 
     A spike holds at least ``least`` open values, more than ``ratio`` times and more than three Poisson deviations above the mean of
     the ``window`` lengths before it, and at most ``beyond`` times as many values are longer.  Where both units qualify, the
-    characters decide unless the byte length is bounded while the characters are not at one length.
+    characters decide unless the byte length is bounded while the characters are not at one length.  ``values`` are ``measured``.
     """
-    v = F.col(value)
+    both = values.where("__chars > 0").groupBy(*group, "__chars", "__bytes").agg(
+        F.count_if("__open").alias("open"), F.count(F.lit(1)).alias("all")
+    )
     units = F.explode(
         F.array(
-            F.struct(F.lit("chars").alias("unit"), F.length(v).alias("len")),
-            F.struct(F.lit("bytes").alias("unit"), F.octet_length(v).alias("len")),
+            F.struct(F.lit("chars").alias("unit"), F.col("__chars").alias("len")),
+            F.struct(F.lit("bytes").alias("unit"), F.col("__bytes").alias("len")),
         )
     ).alias("u")
-    sized = values.where(F.length(v) > 0).select(*group, is_open(v).alias("open"), units)
-    lengths = sized.groupBy(*group, F.col("u.unit").alias("unit"), F.col("u.len").alias("len")).agg(
-        F.count_if("open").alias("open"), F.count(F.lit(1)).alias("all")
+    lengths = both.select(*group, "open", "all", units).groupBy(*group, F.col("u.unit").alias("unit"), F.col("u.len").alias("len")).agg(
+        F.sum("open").alias("open"), F.sum("all").alias("all")
     )
     by = Window.partitionBy(*group, "unit").orderBy("len")
     lengths = lengths.withColumn("near", F.coalesce(F.sum("open").over(by.rangeBetween(-window, -1)), F.lit(0)) / F.lit(float(window)))
@@ -90,10 +100,9 @@ def truncated_values(values: DataFrame, *, source: str = "source", column: str =
     computed over all rows per (source, column), and once more per column over all sources, for sources with few values.
     """
     scratch = Scratch(values.sparkSession, "truncation")
-    v = F.col(value)
-    rows = values.withColumn("__src", F.coalesce(F.col(source), F.lit("")))
-    own = length_limits(rows, ["__src", column], value)
-    pooled = length_limits(rows, [column], value).select(
+    rows = scratch.write(measured(values.withColumn("__src", F.coalesce(F.col(source), F.lit(""))), value), "measured")
+    own = length_limits(rows, ["__src", column])
+    pooled = length_limits(rows, [column]).select(
         column, F.col("unit").alias("p_unit"), F.col("limit").alias("p_limit")
     )
     limits = scratch.write(own, "limits")  # one row per source and column
@@ -102,12 +111,10 @@ def truncated_values(values: DataFrame, *, source: str = "source", column: str =
     sources = limits.count()
     joined = joined.join(F.broadcast(limits) if sources <= 10_000 else limits, ["__src", column], "left")
     at = lambda unit, limit: F.when(
-        F.col(unit) == "bytes", F.octet_length(v).between(F.col(limit) - 3, F.col(limit))
-    ).otherwise(F.length(v) == F.col(limit))
-    marked = joined.withColumn("__open", is_open(v)).withColumn("__broken", is_broken(v))
+        F.col(unit) == "bytes", F.col("__bytes").between(F.col(limit) - 3, F.col(limit))
+    ).otherwise(F.col("__chars") == F.col(limit))
     limit_hit = F.coalesce(at("unit", "limit"), F.lit(False)) | F.coalesce(at("p_unit", "p_limit"), F.lit(False))
-    marked = marked.withColumn("__at_limit", limit_hit).drop("unit", "limit", "p_unit", "p_limit")
-    marked = scratch.write(marked.withColumn("__end", F.when(F.col("__open"), _ending(v))), "marked")
+    marked = joined.withColumn("__at_limit", limit_hit).drop("unit", "limit", "p_unit", "p_limit")
 
     below = F.col("__open") & ~F.col("__at_limit")
     rates = marked.groupBy("__src", column).agg(
@@ -131,9 +138,9 @@ def truncated_values(values: DataFrame, *, source: str = "source", column: str =
     odd = odd.select("__src", column, "__end", F.lit(True).alias("__odd"))
     out = marked.join(odd, ["__src", column, "__end"], "left")
     cut = F.when(F.col("__open") & F.col("__at_limit"), F.lit("limit")).when(
-        (F.col("__open") | v.rlike(r"�\s*$")) & (F.col("__broken") | F.coalesce("__odd", F.lit(False))), F.lit("transfer")
+        (F.col("__open") | F.col("__half")) & (F.col("__broken") | F.coalesce("__odd", F.lit(False))), F.lit("transfer")
     )
-    return out.withColumn("cut", cut).drop("__src", "__open", "__broken", "__at_limit", "__end", "__odd")
+    return out.withColumn("cut", cut).drop("__src", "__chars", "__bytes", "__open", "__half", "__broken", "__at_limit", "__end", "__odd")
 
 
 def cut_titles(titles: DataFrame, known: DataFrame, *, title: str, name: str) -> DataFrame:
