@@ -71,12 +71,12 @@ def orphan_references(
     left out.  A target can be late and deleted for one reference; both rows are returned.  A null time on either side makes
     neither late nor deleted.  Empty children give no rows; an empty parent table makes all its references missing.
     """
-    keep = list(keep or [])
+    keep = [c for c in dict.fromkeys(keep or []) if c != child_id]
     columns = [r.column for r in references]
     require_columns(child, child_id, child_loaded, *columns, *keep)
     spark = child.sparkSession
     scratch = Scratch(spark, "orphans")
-    narrow = child.select(child_id, child_loaded, *dict.fromkeys(columns + keep))
+    narrow = child.select(*dict.fromkeys([child_id, child_loaded, *columns, *keep]))
     rows = scratch.write(first_delivery(narrow, child_id, child_loaded), "children")
     total = rows.count()
     found: list[DataFrame] = []
