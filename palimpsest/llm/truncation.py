@@ -101,9 +101,9 @@ def truncated_values(values: DataFrame, *, source: str = "source", column: str =
     """
     scratch = Scratch(values.sparkSession, "truncation")
     rows = scratch.write(measured(values.withColumn("__src", F.coalesce(F.col(source), F.lit(""))), value), "measured")
-    own = length_limits(rows, ["__src", column])
+    own = length_limits(rows, ["__src", column]).select("__src", column, F.col("unit").alias("__unit"), F.col("limit").alias("__limit"))
     pooled = length_limits(rows, [column]).select(
-        column, F.col("unit").alias("p_unit"), F.col("limit").alias("p_limit")
+        column, F.col("unit").alias("__p_unit"), F.col("limit").alias("__p_limit")
     )
     limits = scratch.write(own, "limits")  # one row per source and column
     pooled = scratch.write(pooled, "pooled")  # one row per column
@@ -113,8 +113,8 @@ def truncated_values(values: DataFrame, *, source: str = "source", column: str =
     at = lambda unit, limit: F.when(
         F.col(unit) == "bytes", F.col("__bytes").between(F.col(limit) - 3, F.col(limit))
     ).otherwise(F.col("__chars") == F.col(limit))
-    limit_hit = F.coalesce(at("unit", "limit"), F.lit(False)) | F.coalesce(at("p_unit", "p_limit"), F.lit(False))
-    marked = joined.withColumn("__at_limit", limit_hit).drop("unit", "limit", "p_unit", "p_limit")
+    limit_hit = F.coalesce(at("__unit", "__limit"), F.lit(False)) | F.coalesce(at("__p_unit", "__p_limit"), F.lit(False))
+    marked = joined.withColumn("__at_limit", limit_hit).drop("__unit", "__limit", "__p_unit", "__p_limit")
 
     below = F.col("__open") & ~F.col("__at_limit")
     rates = marked.groupBy("__src", column).agg(
