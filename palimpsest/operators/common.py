@@ -38,15 +38,16 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def salted_lookup(df: DataFrame, lookup: DataFrame, key: str, salts: int = 8) -> DataFrame:
-    """Left join to a lookup table of one row per key; a hot key's rows are spread over ``salts`` tasks.
+def salted_lookup(df: DataFrame, lookup: DataFrame, keys: str | list[str], how: str = "left", salts: int = 8) -> DataFrame:
+    """Join (``left`` or ``inner``) to a lookup table of one row per key; a hot key's rows, null keys too, are spread over ``salts`` tasks.
 
     Where the lookup is small Spark broadcasts it by its size, and the salt costs nothing.
     """
-    rest = [c for c in df.columns if c != key]
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    rest = [c for c in df.columns if c not in keys]
     salt = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int") if rest else F.lit(0)
     copies = lookup.withColumn("__salt", F.explode(F.lit(list(range(salts)))))
-    return df.withColumn("__salt", salt).join(copies, [key, "__salt"], "left").drop("__salt")
+    return df.withColumn("__salt", salt).join(copies, [*keys, "__salt"], how).drop("__salt")
 
 
 def spread(df: DataFrame, per_core: int = 4) -> DataFrame:

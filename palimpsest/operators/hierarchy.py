@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.operators.common import first_delivery, require_columns
+from palimpsest.operators.common import first_delivery, require_columns, salted_lookup
 from palimpsest.scratch import Scratch
 
 #: Path elements per Arrow batch that a task sends back.
@@ -149,7 +149,9 @@ def hierarchy(
         F.col("node").alias("exit"), F.col("top").alias("via"), F.col("hops").alias("via_hops"),
         F.col("leaves_to").alias("via_leaves"), "low", "cycle_id", *path_columns,
     )
-    links = scratch.write(crossing.join(target, "exit", "left"), "links")
+    # Many segments may leave to one parent: look every parent up once, then spread the segments over its copies.
+    met = scratch.write(target.join(crossing.select("exit").distinct(), "exit"), "exits")
+    links = scratch.write(salted_lookup(crossing, met, "exit"), "links")
     empty = F.array().cast("array<long>")
     known = F.col("low").isNull() | F.col("cycle_id").isNotNull() | F.col("via_leaves").isNull()
     first = links.where(known).select(
@@ -165,7 +167,7 @@ def hierarchy(
     left, seen = waiting.count(), 0
     while left > seen:
         f = frontier.select(F.col("seg").alias("via"), "root", "above", "cycle_id", *(["prefix"] if with_paths else []))
-        grown = waiting.join(f, "via").select(
+        grown = salted_lookup(waiting, f, "via", "inner").select(
             "seg",
             "root",
             F.when(F.col("cycle_id").isNull(), F.col("above") + F.col("via_hops") + 1).alias("above"),
@@ -213,10 +215,10 @@ def _cycle_ids(scratch: Scratch, loops: DataFrame, count: int) -> DataFrame:
     for _ in range(max(1, int(count).bit_length())):
         ahead = state.select(F.col("seg").alias("far"), F.col("far").alias("far2"), F.col("low").alias("low2"))
         state = scratch.write(
-            state.join(ahead, "far").select("seg", F.col("far2").alias("far"), F.least("low", "low2").alias("low")), "doubling"
+            salted_lookup(state, ahead, "far", "inner").select("seg", F.col("far2").alias("far"), F.least("low", "low2").alias("low")), "doubling"
         )
     on_cycle = state.select(F.col("seg").alias("far"), F.col("low").alias("cycle_id"))
-    return state.select("seg", "far").join(on_cycle, "far").select("seg", "cycle_id")
+    return salted_lookup(state.select("seg", "far"), on_cycle, "far", "inner").select("seg", "cycle_id")
 
 
 def ancestor_pairs(nodes: DataFrame) -> DataFrame:
