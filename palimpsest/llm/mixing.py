@@ -116,7 +116,7 @@ def quotas_for(patterns: dict[tuple[str, ...], int], targets: list[Target], tota
 
 def mix(
     docs: DataFrame, targets: list[Target], *, doc_id: str = "doc_id", text: str = "text", source: str = "source", size: str = "tokens",
-    total: int | None = None, seed: int = 17, buckets: int = 256,
+    total: int | None = None, seed: int = 17, rows_per_bucket: int = 50_000,
 ) -> tuple[DataFrame, dict[str, int]]:
     """(doc_id, source, tokens, repeats) of the chosen documents, and the quotas.
 
@@ -147,6 +147,7 @@ def mix(
     schema = "pattern string, source string, layer long, low long, high long"
     intervals = spark.createDataFrame(rows, schema)  # at most MAX_PATTERNS x sources rows
 
+    buckets = max(16, -(-units.count() // rows_per_bucket))
     ordered = units.withColumn("draw", F.xxhash64("doc_id", F.lit(seed)))
     ordered = ordered.withColumn("bucket", F.pmod(F.shiftright("draw", 32), F.lit(buckets)))
     inside = Window.partitionBy("pattern", "bucket").orderBy("draw", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)

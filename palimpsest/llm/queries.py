@@ -11,7 +11,7 @@ from palimpsest.llm.packing import Tier, pack, packing_report
 from palimpsest.llm.residue import residue_documents, without_residue
 from palimpsest.llm.tokens import token_count
 from palimpsest.llm.truncation import cut_titles, truncated_values, truncation_report
-from palimpsest.operators.common import first_delivery, salted_lookup
+from palimpsest.operators.common import first_delivery, salted_lookup, spread
 from palimpsest.plans.tables import table
 from palimpsest.scratch import Scratch
 
@@ -52,7 +52,7 @@ def _marked(spark: SparkSession, d: str) -> DataFrame:
     fronts = cut_titles(redirects, table(spark, d, "wiki_page"), title="value", name="page_name")
     fronts = fronts.select("value", F.lit("wiki_page").alias("record_table"), F.lit(True).alias("front"))
     cut = F.coalesce(F.col("cut"), F.when(F.col("front"), F.lit("transfer")))
-    return marked.join(fronts, ["record_table", "value"], "left").withColumn("cut", cut).drop("front")
+    return salted_lookup(marked, fronts, ["record_table", "value"]).withColumn("cut", cut).drop("front")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -66,7 +66,7 @@ def p2_sources(spark: SparkSession, d: str) -> DataFrame:
 # --- Problem 8 -----------------------------------------------------------------------------------------------------------------
 def _sized(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "source", "text")
-    return docs.withColumn("tokens", token_count(F.col("text")))
+    return spread(docs).withColumn("tokens", token_count(F.col("text")))
 
 
 def _tiers(spark: SparkSession, d: str) -> list[Tier]:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.operators.common import spread
+from palimpsest.operators.common import salted_lookup, spread
 from palimpsest.scratch import Scratch
 
 SHINGLE_WORDS = 5
@@ -286,7 +286,7 @@ def residue_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     schema = "unit string, trusted boolean, simhash long, shingles array<long>"
     units = scratch.write(distinct.mapInArrow(_fingerprints, schema), "units")
     labelled = scratch.write(residue_units(units, scratch), "labelled")
-    passed_on = keyed.select("doc_id", "unit").join(labelled, "unit", "left_semi").select("doc_id")
+    passed_on = salted_lookup(keyed.select("doc_id", "unit"), labelled, "unit", "inner").select("doc_id")
     direct = rows.where(has_residue(F.col("text"))).select("doc_id")
     return direct.unionByName(passed_on).distinct()
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.operators.common import salted_lookup
 from palimpsest.scratch import Scratch
 
 #: How a finished value ends, optional blanks aside: a mark of sentence end, an ellipsis, a closing bracket or quote.
@@ -108,8 +109,7 @@ def truncated_values(values: DataFrame, *, source: str = "source", column: str =
     limits = scratch.write(own, "limits")  # one row per source and column
     pooled = scratch.write(pooled, "pooled")  # one row per column
     joined = rows.join(F.broadcast(pooled), column, "left")
-    sources = limits.count()
-    joined = joined.join(F.broadcast(limits) if sources <= 10_000 else limits, ["__src", column], "left")
+    joined = salted_lookup(joined, limits, ["__src", column])
     at = lambda unit, limit: F.when(
         F.col(unit) == "bytes", F.col("__bytes").between(F.col(limit) - 3, F.col(limit))
     ).otherwise(F.col("__chars") == F.col(limit))
@@ -124,10 +124,9 @@ def truncated_values(values: DataFrame, *, source: str = "source", column: str =
     rates = rates.withColumn("rate", F.col("broken") / F.col("n")).withColumn("usual", F.median("rate").over(usual))
     rates = rates.withColumn("cutting", (F.col("rate") > 0.002) & (F.col("rate") > 5 * F.col("usual")) & (F.col("broken") >= 3))
     rates = scratch.write(rates.select("__src", column, "n", "cutting"), "rates")
-    rates_side = F.broadcast(rates) if sources <= 10_000 and rates.count() <= 10_000 else rates
 
     endings = (
-        marked.where(below & ~F.col("__broken")).join(rates_side, ["__src", column])
+        salted_lookup(marked.where(below & ~F.col("__broken")).select("__src", column, "__end", "__chars"), rates, ["__src", column], "inner")
         .groupBy(column, "__src", "cutting", "__end").agg(F.count(F.lit(1)).alias("c"))
     )
     sums = rates.groupBy(column).agg(F.sum(F.when(~F.col("cutting"), F.col("n"))).alias("clean_rows"))
@@ -136,7 +135,7 @@ def truncated_values(values: DataFrame, *, source: str = "source", column: str =
     mine = mine.join(clean, [column, "__end"], "left").where(F.col("clean_rows") > 0)
     odd = mine.where(F.coalesce("clean", F.lit(0)) * F.col("n") < 0.2 * F.col("c") * F.col("clean_rows"))
     odd = odd.select("__src", column, "__end", F.lit(True).alias("__odd"))
-    out = marked.join(odd, ["__src", column, "__end"], "left")
+    out = salted_lookup(marked, odd, ["__src", column, "__end"])
     cut = F.when(F.col("__open") & F.col("__at_limit"), F.lit("limit")).when(
         (F.col("__open") | F.col("__half")) & (F.col("__broken") | F.coalesce("__odd", F.lit(False))), F.lit("transfer")
     )
