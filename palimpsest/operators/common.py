@@ -38,16 +38,23 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
+#: A lookup table of at most so many rows is broadcast; its rows are counted first.
+BROADCAST_ROWS = 10_000
+
+
 def salted_lookup(df: DataFrame, lookup: DataFrame, keys: str | list[str], how: str = "left", salts: int = 8) -> DataFrame:
     """Join (``left`` or ``inner``) to a lookup table of one row per key; a hot key's rows, null keys too, are spread over ``salts`` tasks.
 
-    Where the lookup is small Spark broadcasts it by its size, and the salt costs nothing.
+    A lookup of at most ``BROADCAST_ROWS`` rows, by count, is broadcast as it is.  A longer one is copied to every salt and joined by
+    a shuffle; the hint keeps Spark, whose size estimate does not see the copies, from broadcasting them.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if lookup.count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(lookup), keys, how)
     rest = [c for c in df.columns if c not in keys]
     salt = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int") if rest else F.lit(0)
     copies = lookup.withColumn("__salt", F.explode(F.lit(list(range(salts)))))
-    return df.withColumn("__salt", salt).join(copies, [*keys, "__salt"], how).drop("__salt")
+    return df.withColumn("__salt", salt).join(copies.hint("merge"), [*keys, "__salt"], how).drop("__salt")
 
 
 def spread(df: DataFrame, per_core: int = 4) -> DataFrame:

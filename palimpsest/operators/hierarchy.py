@@ -196,10 +196,8 @@ def hierarchy(
         "node", F.col("top").alias("root"), F.col("hops").alias("depth"), "cycle_id", *path_columns
     )
     # Many nodes may hang below one segment top: spread them, and copy the (short) table of segment tops to every salt.
-    salt = F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")
-    deep = segments.where(F.col("leaves_to").isNotNull()).drop("cycle_id").withColumn("__salt", salt)
-    tops = resolved.withColumnRenamed("seg", "top").withColumn("__salt", F.explode(F.lit(list(range(salts)))))
-    deep = deep.join(tops, ["top", "__salt"]).select(
+    deep = segments.where(F.col("leaves_to").isNotNull()).drop("cycle_id", "low")
+    deep = salted_lookup(deep, resolved.withColumnRenamed("seg", "top"), "top", "inner", salts).select(
         "node",
         "root",
         (F.col("above") + F.col("hops")).alias("depth"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from palimpsest.functions import tsql
 from palimpsest.functions.address import canonical_ip
 from palimpsest.operators.changes import MerkleState, changed_rows, merkle_tree, pages_to_load
+from palimpsest.operators import common
 from palimpsest.operators.common import first_delivery, salted_lookup, spread
 from palimpsest.operators.curate import distinct_users, flag_where_staged, merge_counts, missing_rows, needed_revisions, upsert
 from palimpsest.operators.hierarchy import ancestor_pairs, follow_links, hierarchy
@@ -35,10 +36,15 @@ def test_first_delivery(spark):
     assert sorted((r.k, r.v) for r in got) == [(1, "a"), (2, "x")]
 
 
-def test_salted_lookup_and_spread(spark):
+def test_salted_lookup_and_spread(spark, monkeypatch):
     df = spark.createDataFrame([(1, i) for i in range(100)] + [(None, 7), (9, 8)], "k long, v long")
     out = salted_lookup(df, spark.createDataFrame([(1, "one"), (2, "two")], "k long, name string"), "k")
     assert Counter(r.name for r in out.collect()) == {"one": 100, None: 2}
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    for how, want in (("left", {"one": 100, None: 2}), ("inner", {"one": 100})):
+        out = salted_lookup(df, spark.createDataFrame([(1, "one"), (2, "two")], "k long, name string"), "k", how)
+        assert Counter(r.name for r in out.collect()) == want
+        assert "BroadcastHashJoin" not in out._jdf.queryExecution().toString()
     assert spread(df.coalesce(1)).rdd.getNumPartitions() > 1
 
 
