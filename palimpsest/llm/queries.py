@@ -51,6 +51,7 @@ def _marked(spark: SparkSession, d: str) -> DataFrame:
     redirects = values.where(F.col("record_table") == "wiki_page")
     fronts = cut_titles(redirects, table(spark, d, "wiki_page"), title="value", name="page_name")
     fronts = fronts.select("value", F.lit("wiki_page").alias("record_table"), F.lit(True).alias("front"))
+    fronts = scratch.write(fronts, "fronts")
     cut = F.coalesce(F.col("cut"), F.when(F.col("front"), F.lit("transfer")))
     return salted_lookup(marked, fronts, ["record_table", "value"]).withColumn("cut", cut).drop("front")
 

@@ -134,7 +134,7 @@ def truncated_values(values: DataFrame, *, source: str = "source", column: str =
     mine = endings.where("cutting").join(rates.select("__src", column, "n"), ["__src", column]).join(F.broadcast(sums), column)
     mine = mine.join(clean, [column, "__end"], "left").where(F.col("clean_rows") > 0)
     odd = mine.where(F.coalesce("clean", F.lit(0)) * F.col("n") < 0.2 * F.col("c") * F.col("clean_rows"))
-    odd = odd.select("__src", column, "__end", F.lit(True).alias("__odd"))
+    odd = scratch.write(odd.select("__src", column, "__end", F.lit(True).alias("__odd")), "odd")
     out = salted_lookup(marked, odd, ["__src", column, "__end"])
     cut = F.when(F.col("__open") & F.col("__at_limit"), F.lit("limit")).when(
         (F.col("__open") | F.col("__half")) & (F.col("__broken") | F.coalesce("__odd", F.lit(False))), F.lit("transfer")
