@@ -3,7 +3,8 @@
 Sentences that *are* residue by their form are trusted labels; sentences that quote, explain or report such things are exempt.  Every
 distinct paragraph gets a SimHash over shingles of five words; paragraphs made of residue hand their label to near-duplicates, found
 through partitioned SimHash tables (pairs of equal blocks), verified by Hamming distance and by shingle similarity, from neighbour
-to neighbour through whole connected components that hold a trusted label.  Exact copies are one paragraph, so they form no pairs.
+to neighbour through whole connected components that hold a trusted label.  The tables alone find few of the pairs near the lowest
+similarity, so shared shingles in the sets' prefixes propose the others: no pair of similarity 0.8 or more is lost.  Exact copies are one paragraph, so they form no pairs.
 """
 
 from __future__ import annotations
@@ -242,30 +243,43 @@ def _tables(prints: DataFrame) -> DataFrame:
     return prints.withColumn("key", F.explode(F.array(*keys)))
 
 
-def residue_units(units: DataFrame, scratch: Scratch, rounds: int = 50) -> DataFrame:
+def _prefixes(sets: DataFrame, *names: str) -> DataFrame:
+    """One row per set and shingle of its prefix: its first ``n - ceil(0.8 n) + 1`` shingles in the order of the hashes.
+
+    Two sets of at least that similarity share a shingle that lies in both prefixes, so joining on it misses no pair.
+    """
+    size = F.size("shingles")
+    keep = size - F.ceil(F.round(size * F.lit(SIMILARITY), 6)).cast("int") + 1
+    return sets.select(*names, F.explode(F.slice("shingles", F.lit(1), keep)).alias("shingle"))
+
+
+def residue_units(units: DataFrame, scratch: Scratch, rounds: int = 1_000) -> DataFrame:
     """(unit) of all units in a connected component with a trusted one.  ``units``: unit, trusted, simhash, shingles.
 
     The search starts at the trusted units and adds verified neighbours round by round, so buckets of ordinary text are never
-    paired with each other; it ends when a round adds none.  The tables hold each distinct (simhash, number of shingles) once.
+    paired with each other; it ends when a round adds none.  SimHash tables propose pairs within ``HAMMING``, each distinct
+    (simhash, number of shingles) once; shingle prefixes propose every further pair that can reach ``SIMILARITY``.
     """
     sized = units.where(F.col("simhash").isNotNull()).withColumn("n", F.size("shingles"))
-    prints = scratch.write(sized.where(~F.col("trusted")).select("simhash", "n").distinct(), "prints")
-    frontier = scratch.write(units.where("trusted").select("unit", "simhash", "shingles"), "trusted")
-    reached = frontier.select("unit")
+    others = sized.where(~F.col("trusted")).drop("trusted")
+    prints = scratch.write(others.select("simhash", "n").distinct(), "prints")
+    frontier = scratch.write(sized.where("trusted").drop("trusted"), "trusted")
+    reached = units.where("trusted").select("unit")
+    even = F.least("n", "n2") >= SIMILARITY * F.greatest("n", "n2") - 1e-9
     for _ in range(rounds):
-        asked = frontier.where(F.col("simhash").isNotNull()).select("simhash", F.size("shingles").alias("n")).distinct()
-        probe = _tables(asked).select(F.col("simhash").alias("simhash2"), F.col("n").alias("n2"), "key")
-        near = (F.bit_count(F.col("simhash").bitwiseXOR(F.col("simhash2"))) <= HAMMING) & (
-            F.least("n", "n2") >= SIMILARITY * F.greatest("n", "n2")
-        )
-        pairs = _tables(prints).join(probe, "key").where(near).select("simhash", "n", "simhash2", "n2").distinct()
-        theirs = frontier.select(F.col("simhash").alias("simhash2"), F.size("shingles").alias("n2"), F.col("shingles").alias("s2"))
-        mine = sized.where(~F.col("trusted")).select("unit", "simhash", "n", F.col("shingles").alias("s1"))
-        both = pairs.join(theirs.distinct(), ["simhash2", "n2"]).join(mine, ["simhash", "n"])
+        theirs = frontier.select(F.col("unit").alias("from"), F.col("simhash").alias("simhash2"), F.col("n").alias("n2"), F.col("shingles").alias("s2"))
+        probe = _tables(frontier.select("simhash", "n").distinct()).select(F.col("simhash").alias("simhash2"), F.col("n").alias("n2"), "key")
+        near = F.bit_count(F.col("simhash").bitwiseXOR(F.col("simhash2"))) <= HAMMING
+        by_print = _tables(prints).join(probe, "key").where(near & even).select("simhash", "n", "simhash2", "n2").distinct()
+        by_print = by_print.join(theirs.select("from", "simhash2", "n2"), ["simhash2", "n2"]).join(others.select("unit", "simhash", "n"), ["simhash", "n"])
+        asked = _prefixes(frontier.select(F.col("unit").alias("from"), F.col("n").alias("n2"), "shingles"), "from", "n2")
+        by_prefix = _prefixes(others, "unit", "n").join(asked, "shingle").where(even)
+        pairs = by_print.select("unit", "from").unionByName(by_prefix.select("unit", "from")).distinct()
+        pairs = pairs.join(reached, "unit", "left_anti")
+        both = pairs.join(theirs.select("from", "n2", "s2"), "from").join(others.select("unit", "n", F.col("shingles").alias("s1")), "unit")
         same = F.size(F.array_intersect("s1", "s2"))
-        close = both.where(same >= SIMILARITY * (F.col("n") + F.col("n2") - same)).select("unit").distinct()
-        fresh = close.join(reached, "unit", "left_anti").join(sized.select("unit", "simhash", "shingles"), "unit")
-        frontier = scratch.write(fresh, "frontier")
+        close = both.where(same >= SIMILARITY * (F.col("n") + F.col("n2") - same) - 1e-9).select("unit").distinct()
+        frontier = scratch.write(others.join(close, "unit", "left_semi"), "frontier")
         if not frontier.take(1):
             break
         reached = reached.unionByName(frontier.select("unit"))

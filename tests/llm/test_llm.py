@@ -284,3 +284,34 @@ def test_labels_spread_over_components(spark):
     assert {r.doc_id for r in residue_documents(docs).collect()} == {1, 2, 3, 8}
     assert sorted(str(r.doc_id) for r in without_residue(docs).collect()) == ["4", "4", "6", "7", "None"]
     assert residue_documents(docs.limit(0)).count() == 0
+
+
+def test_no_link_at_the_lowest_similarity_is_lost(spark, tmp_path):
+    from palimpsest.llm.residue import SIMILARITY, residue_units
+    from palimpsest.scratch import Scratch
+
+    r = random.Random(4)
+    vocabulary = [f"{a}{b}x" for a in "abcdefghijklmnop" for b in "abcdefghijklmnop"]
+    texts = []
+    for _ in range(60):
+        words = [r.choice(vocabulary) for _ in range(r.randrange(4, 120))]
+        for _ in range(5):
+            texts.append(" ".join(words))
+            for _ in range(r.randrange(1, 3)):
+                words[r.randrange(len(words))] = r.choice(vocabulary)
+    texts = sorted(set(texts))
+    sets = [set(shingles(t).tolist()) for t in texts]
+    trusted = {i for i in range(len(texts)) if r.random() < 0.1}
+    want, stack = set(trusted), list(trusted)
+    while stack:
+        i = stack.pop()
+        for j, other in enumerate(sets):
+            if j not in want and len(sets[i] & other) >= SIMILARITY * len(sets[i] | other):
+                want.add(j)
+                stack.append(j)
+    import numpy as np
+
+    rows = [(str(i), i in trusted, simhash(s := shingles(t)), s.view(np.int64).tolist()) for i, t in enumerate(texts)]
+    units = spark.createDataFrame(rows, "unit string, trusted boolean, simhash long, shingles array<long>")
+    assert {int(x.unit) for x in residue_units(units, Scratch(spark, "t")).collect()} == want
+    assert len(want) > len(trusted) + 20
