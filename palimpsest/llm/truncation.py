@@ -5,9 +5,10 @@ text.  A spike at the maximum - far more open values at one length than at the l
 limit; open values at a spike are cut.  A byte limit leaves up to three bytes unused where a character did not fit.
 
 Cuts in transfer leave no spike but broken structure: an opened link, bracket or section mark, half an entity, half a character.
-Sources whose rate of broken structure stands out are examined further: there, an open value whose last word (a name or number: masked,
-with the word before it) ends a value several times as often as in the other sources is cut, too.  Titles can also be compared with the titles that
-exist: an unknown title that an existing one continues in the middle of a word is the front part of it.
+Every source is examined further: an open value whose last word (a name or number: masked, with the word before it) never, or far more
+rarely, ends a value of the other sources with the fewest broken values is cut, too, unless such endings are as many there by chance.
+Titles can also be compared with the titles that exist: an unknown title that an existing one continues in the middle of a word is the
+front part of it.
 """
 
 from __future__ import annotations
@@ -123,18 +124,9 @@ def truncated_values(values: DataFrame, *, source: str = "source", column: str =
     usual = Window.partitionBy(column)
     rates = rates.withColumn("rate", F.col("broken") / F.col("n")).withColumn("usual", F.median("rate").over(usual))
     rates = rates.withColumn("cutting", (F.col("rate") > 0.002) & (F.col("rate") > 5 * F.col("usual")) & (F.col("broken") >= 3))
-    rates = scratch.write(rates.select("__src", column, "n", "cutting"), "rates")
-
-    endings = (
-        salted_lookup(marked.where(below & ~F.col("__broken")).select("__src", column, "__end", "__chars"), rates, ["__src", column], "inner")
-        .groupBy(column, "__src", "cutting", "__end").agg(F.count(F.lit(1)).alias("c"))
-    )
-    sums = rates.groupBy(column).agg(F.sum(F.when(~F.col("cutting"), F.col("n"))).alias("clean_rows"))
-    clean = endings.where(~F.col("cutting")).groupBy(column, "__end").agg(F.sum("c").alias("clean"))
-    mine = endings.where("cutting").join(rates.select("__src", column, "n"), ["__src", column]).join(F.broadcast(sums), column)
-    mine = mine.join(clean, [column, "__end"], "left").where(F.col("clean_rows") > 0)
-    odd = mine.where(F.coalesce("clean", F.lit(0)) * F.col("n") < 0.2 * F.col("c") * F.col("clean_rows"))
-    odd = scratch.write(odd.select("__src", column, "__end", F.lit(True).alias("__odd")), "odd")
+    rates = rates.withColumn("plain", F.col("rate") <= F.col("usual"))
+    rates = scratch.write(rates.select("__src", column, "n", "cutting", "plain"), "rates")
+    odd = scratch.write(_odd_endings(marked.where(below & ~F.col("__broken")), rates, column, scratch), "odd")
     out = salted_lookup(marked, odd, ["__src", column, "__end"])
     cut = F.when(F.col("__open") & F.col("__at_limit"), F.lit("limit")).when(
         (F.col("__open") | F.col("__half")) & (F.col("__broken") | F.coalesce("__odd", F.lit(False))), F.lit("transfer")
@@ -142,6 +134,30 @@ def truncated_values(values: DataFrame, *, source: str = "source", column: str =
     return out.withColumn("cut", cut).drop("__src", "__chars", "__bytes", "__open", "__half", "__broken", "__at_limit", "__end", "__odd")
 
 
+def _odd_endings(opened: DataFrame, rates: DataFrame, column: str, scratch: Scratch) -> DataFrame:
+    """(__src, column, __end, __odd) of the endings that are cuts, tested in every source.
+
+    An ending is rare if the plain sources, those with the fewest broken values and the source itself left out, never or far less often
+    end a value so.  What plain sources show as rare among themselves is chance; a source's rare endings are cuts if they are more
+    than three times as many as that chance (one row more than seen) explains, or if the source's broken values stand out.
+    """
+    ends = opened.groupBy(column, "__src", "__end").agg(F.count(F.lit(1)).alias("c"))
+    ends = salted_lookup(ends, rates, ["__src", column], "inner")
+    seen = ends.where("plain").groupBy(column, "__end").agg(F.sum("c").alias("seen"))
+    rows = rates.groupBy(column).agg(F.sum(F.when(F.col("plain"), F.col("n")).otherwise(0)).alias("plain_rows"))
+    own = lambda name: F.when(F.col("plain"), F.col(name)).otherwise(0)
+    ends = ends.join(seen, [column, "__end"], "left").join(F.broadcast(rows), column)  # one row per column
+    theirs, their_rows = F.coalesce("seen", F.lit(0)) - own("c"), F.col("plain_rows") - own("n")
+    rarer = (their_rows > 0) & (theirs * F.col("n") < 0.2 * F.col("c") * their_rows)
+    rare = scratch.write(ends.where(rarer & ((theirs == 0) | F.col("cutting") | (F.col("c") >= 3))).select("__src", column, "__end", "c"), "rare")
+
+    sums = rates.join(rare.groupBy("__src", column).agg(F.sum("c").alias("rare")), ["__src", column], "left").fillna(0, ["rare"])
+    chance = sums.groupBy(column).agg(F.sum(own("rare")).alias("plain_rare"), F.sum(own("n")).alias("plain_rows"))
+    more = F.col("rare") * their_rows > 3 * F.col("n") * (F.col("plain_rare") - own("rare") + 1)
+    tested = scratch.write(sums.join(F.broadcast(chance), column).where(F.col("cutting") | more).select("__src", column), "tested")
+    return salted_lookup(rare, tested, ["__src", column], "inner").select("__src", column, "__end", F.lit(True).alias("__odd"))
+
+
 def cut_titles(titles: DataFrame, known: DataFrame, *, title: str, name: str) -> DataFrame:
     """Distinct ``title`` values that are no known name but that a known name continues in mid-word or inside a bracket.
 

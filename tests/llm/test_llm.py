@@ -122,6 +122,19 @@ def test_limits_and_cuts(spark):
     assert report["free"].cut_share == 0 and report["line"].cut_in_transfer > 0 and report[None].values == sum(r[1] is None for r in rows)
 
 
+def test_few_cuts_in_a_large_source_are_found(spark):
+    r = random.Random(3)
+    text = lambda: " ".join(r.choice("alpha beta gamma delta zeta theta iota kappa".split()) for _ in range(r.randrange(4, 40)))
+    rows = [(i, "big" if i % 2 else f"s{i % 6}", "c", text() + " done") for i in range(8000)]
+    cuts = {i: "transfer" for i in range(1, 801, 40)}  # 20 of 4,000, of which 2 are broken: no rate to stand out
+    rows = [(i, s, c, v[: -len(" done") - 2] + (" (alp" if i < 80 else "") if i in cuts else v) for i, s, c, v in rows]
+    df = spark.createDataFrame(rows, "id long, source string, column string, value string")
+    assert {x.id: x.cut for x in truncated_values(df).collect() if x.cut} == cuts
+    # endings that differ from source to source by nature are none
+    own = df.withColumn("value", F.concat("value", F.when(F.col("id") % 10 == 0, F.concat(F.lit(" x"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"))).otherwise(F.lit(" end"))))
+    assert not [x for x in truncated_values(own).collect() if x.cut and x.source != "big"]
+
+
 def test_truncation_of_odd_tables(spark):
     schema = "id long, source string, column string, value string, unit string"
     odd = spark.createDataFrame([(1, None, "c", None, "u"), (2, "a", "c", "", "u"), (3, "a", "c", "x" * 100_000, "u"), (3, "a", "c", "x", "u")], schema)
