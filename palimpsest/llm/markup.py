@@ -41,8 +41,10 @@ BOILERPLATE = frozenset("nav footer aside header form".split())
 _NAMES = "|".join(sorted(ELEMENTS, key=len, reverse=True))
 #: Ordinary uses of markup characters, blanked before detection.
 _ORDINARY = re.compile(
-    r"\[\[\s*-?[\d.]+(?:\s*,\s*-?[\d.]+)*\s*\](?:\s*,\s*\[[^\[\]<>&*'|]*\])*\s*\]"  # nested number lists
-    r"|\{\{\s*[\w.]*(?:\s*,\s*[\w.]+)*\s*\}(?:\s*,\s*\{[^{}]*\})*\s*\}"  # nested sets
+    r"\[\[\s*-?[\d.]+(?:\s*,\s*-?[\d.]+)*\s*\](?:\s*,\s*\[[^\[\]<>&*'|]*\])+\s*\]"  # nested number lists
+    r"|\[\[(?!\d{1,3}(?:,\d{3})+\]\])\s*-?[\d.]+(?:\s*,\s*-?[\d.]+)+\s*\]\s*\]"  # of one list, which only a comma tells from a link
+    r"|\{\{\s*[\w.]*(?:\s*,\s*[\w.]+)*\s*\}(?:\s*,\s*\{[^{}]*\})+\s*\}"  # nested sets
+    r"|\{\{\s*[\w.]*(?:\s*,\s*[\w.]+)+\s*\}\s*\}"  # of one set, which only a comma tells from a template
     r"|\{(?:\s*[\w.]+\s*(?:,\s*[\w.]+\s*)*)?(?:,\s*\{[^{}]*\}\s*)+\}"
     r"|(?<=\b\w)''+(?=\s*\()"  # second derivatives
     r"|(?<=\d)''(?!')"  # inches, seconds of arc

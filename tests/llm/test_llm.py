@@ -57,6 +57,14 @@ def test_plain_texts_stay(text):
     assert clean(text)[0] == text
 
 
+def test_bare_numbers_and_words_in_doubled_brackets_are_markup():
+    for text in ("painted in [[1854]] after", "until [[1808.]]", "some [[10,000]] people", "{{stub}}", "x {{Reflist}}", "{{ 0 }}"):
+        assert markup_kinds(text) == {"wiki"}, text
+    for text in ("[[1, 2]]", "[[1], [2]]", "[[1, 2], [3, 4]]", "{{1, 2}}", "{{a}, {b}}", "{{1}, {2, 3}}", "{{}, {1}}"):
+        assert not markup_kinds(text) and clean(text)[0] == text
+    assert clean("It was painted in [[1854]] after [[1808.]], {{1}, {2}}.\n{{stub}}")[0] == "It was painted in 1854 after 1808., {{1}, {2}}."
+
+
 def test_clean_keeps_structure():
     wiki = "'''A''' [[b|c]]<ref>x</ref>.\n\n== Head ==\n\n# one\n## two\n\n{|\n! P !! Q\n|-\n| 1 || 2\n|}\n\n:<math>x^2</math>\n\n code\n   more\n\n[[Category:Z]]"
     text, n = clean(wiki)
