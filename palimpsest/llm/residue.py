@@ -1,7 +1,7 @@
 """Template residue and error-page text: unfilled placeholders, filler, error messages and script notices in place of content.
 
-Sentences that *are* residue by their form are trusted labels; sentences that quote, explain or report such things are exempt.  Every
-distinct paragraph gets a SimHash over shingles of five words; paragraphs made of residue hand their label to near-duplicates, found
+Sentences that *are* residue by their form are trusted labels; a form that is quoted, or that a mention has as its object or subject, is
+exempt, but no sentence that starts with an error or script form.  Every distinct paragraph gets a SimHash over shingles of five words; paragraphs made of residue hand their label to near-duplicates, found
 through partitioned SimHash tables (pairs of equal blocks), verified by Hamming distance and by shingle similarity, from neighbour
 to neighbour through whole connected components that hold a trusted label.  The tables alone find few of the pairs near the lowest
 similarity, so shared shingles in the sets' prefixes propose the others: no pair of similarity 0.8 or more is lost.  Exact copies are one paragraph, so they form no pairs.
@@ -137,14 +137,14 @@ PLACEHOLDERS = (
     r"(?<![\p{L}\p{N}{])\{\d\}(?!\})",
     r"(?<!\w)__(?:TITLE|NAME|TEXT|DATE|AUTHOR|CONTENT|YEAR|PLACE|CITY)__(?!\w)",
 )
-#: Wordings of sentences that quote, explain or report; such a sentence is no residue.
+#: Quoted spans; a form inside one is quoted and no residue.
+QUOTED = r"[\"“„«»”][^\"“„«»”\n]{0,160}[\"”“«»]"
+#: Wordings that have the form right after them as their object, and those that have it as their subject; such a form is no residue.
 MENTIONS = (
-    r"such as", r"\bmeans?\b", r"stands? for", r"magic word", r"format string", r"\bwrite\b", r"\bused? \$", r"shell scripts",
-    r"\bthe set\b", r"\bmanual\b", r"called it", r"the title of", r"\bphrase\b", r"is that known", r"status code", r"tells a client",
-    r"help (page|text)", r"\bexplain", r"\bquot(e|es|ed)\b", r"in the body of the template", r"so readers", r"a year later", r"\bhandler\b",
-    r"opened late", r"could you", r"could not find the page you cited", r"I got an?\b", r"\breported\b", r"\bfor example\b", r"\be\.g\.",
-    r"[\"“„«»”][^\"“„«»”]{0,80}[\"”“«»]",
+    r"\bsuch as", r"\bmagic words?\b", r"\bformat strings?\b", r"\bwrites?\b", r"\bused? (?=\$)", r"\bshell scripts\b", r"\bthe set\b", r"\bmanual\b",
+    r"\bthe title of", r"\bphrase\b", r"\bhelp (page|text)", r"\bexplain(s|ed)?\b", r"\bquot(e|es|ed)\b", r"\bfor example\b", r"\be\.g\.", r"\bmeans\b",
 )
+EXPLAINED = (r"means?\b", r"stands? for\b", r"in the body of the template", r"as [\p{L} ]{1,40} called it", r"(is|was) (a|an|the) (magic word|phrase|title|status code)\b")
 #: Syllables of shuffled mock Latin.
 LATIN = (
     "lor em ips um dol sit am amt con sec tet adi ad pis adip cing elit sed do eius mod temp or inc id unt ut lab dolor magna ali qua en im min ven iam "
@@ -155,7 +155,16 @@ _SENTENCE = r"(?<=[.!?])\s+|(?<=[。！？])|\n+"
 _TRUSTED = r"(?iu)^[\s\p{P}]{0,3}(?:" + "|".join((*ERRORS, *SCRIPTS, *FILLERS)) + ")"
 _REPEATED = r"(?iu)" + REPEATED
 _HOLE = r"(?u)" + "|".join(PLACEHOLDERS)
-_MENTION = r"(?iu)" + "|".join(MENTIONS)
+_LEADING = r"(?iu)^[\s\p{P}]{0,3}(?:" + "|".join((*ERRORS, *SCRIPTS)) + ")"
+_QUOTED_START = rf"^\s*{QUOTED}\s*\P{{P}}"
+_SUBJECT = r"(?iu)\b(?:" + "|".join(EXPLAINED) + ")"
+_CODE_SUBJECT = rf"(?iu)^[\s\p{{P}}]{{0,3}}(?:(?:error|fehler|erreur|ошибка|エラー)\s*)?\d{{3}}\s+(?:{'|'.join(EXPLAINED)})"
+_HOLES = rf"(?:{'|'.join(PLACEHOLDERS)})"
+#: A placeholder right after or before its mention, with those joined to it.
+_MENTIONED = (
+    rf"(?u)(?iu:{'|'.join(MENTIONS)})[^.;:!?\[\]{{}}<>]{{0,30}}?{_HOLES}(?:[^.;:!?]{{0,30}}?{_HOLES})*"
+    rf"|{_HOLES}[^.;:!?\[\]{{}}<>]{{0,30}}?\b(?iu:{'|'.join(EXPLAINED)})"
+)
 _MOCK = r"(?iu)^\W*(?:(?:" + "|".join(sorted(LATIN.split(), key=len, reverse=True)) + r")+[\s,.;]+){7,}"
 
 
@@ -182,12 +191,15 @@ def _sentences(text: Column) -> Column:
 
 
 def _trusted(sentence: Column) -> Column:
-    form = sentence.rlike(_TRUSTED) | sentence.rlike(_REPEATED) | sentence.rlike(_MOCK)
-    return form & ~sentence.rlike(_MENTION)
+    """Whether a sentence is residue by its form.  One that starts with an error or script form is, unless it starts with a quotation."""
+    leading = sentence.rlike(_LEADING) & ~sentence.rlike(_CODE_SUBJECT)
+    other = (sentence.rlike(_TRUSTED) & ~sentence.rlike(_LEADING)) | sentence.rlike(_REPEATED) | sentence.rlike(_MOCK)
+    return (leading | (other & ~sentence.rlike(_SUBJECT))) & ~sentence.rlike(_QUOTED_START)
 
 
 def _direct(sentence: Column) -> Column:
-    return _trusted(sentence) | (sentence.rlike(_HOLE) & ~sentence.rlike(_MENTION))
+    open_holes = F.regexp_replace(F.regexp_replace(sentence, QUOTED, " "), _MENTIONED, " ").rlike(_HOLE)
+    return _trusted(sentence) | F.when(sentence.rlike(_HOLE), open_holes).otherwise(F.lit(False))
 
 
 def has_residue(text: Column) -> Column:

@@ -279,6 +279,19 @@ def test_residue_by_form(spark):
     assert one([None]) == [(False, False)]
 
 
+def test_a_mention_exempts_only_its_own_form(spark):
+    residue = [
+        "Error 500: unhandled exception in request handler.", 'Fatal error: cannot write "x.php"', 'Dear [name], she said "good day" to all.', "Error 503: reported a year later.",
+        "JavaScript is required, as the manual explains.", 'He called it "the mill" in [year].', "The manual of the mill, kept by the council since the fire, names {{{owner}}}.",
+    ]
+    content = [
+        '"Error 500: no handler" was the title of a play.', 'The field "[name]" stays.', "Error 404 means that the page is gone.", "The magic word {{PAGENAME}} gives the title.",
+        "In the format string, %s stands for a name and %d for a number.", '"Lorem ipsum dolor" is mock Latin.',
+    ]
+    got = lambda ts: [t for t in ts if spark.createDataFrame([(t,)], "t string").select(has_residue(F.col("t"))).first()[0]]
+    assert got(residue) == residue and got(content) == []
+
+
 def test_quick_pass_implies_nothing_lost(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     from palimpsest.llm.residue import _direct, _sentences, _trusted
