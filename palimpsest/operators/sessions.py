@@ -138,14 +138,14 @@ class SessionStore:
                 kept = self.spark.read.schema(SPAN_SCHEMA).parquet(*[f"{self.root}/{manifest[p]}" for p in old])
                 merged = merged.unionByName(kept.join(touched.select(*key), key, "left_anti"))
         else:
-            merged = local
+            merged, old = local, []
         version = uuid.uuid4().hex
         out = merged.withColumn("period", period)
         tasks = max(1, self.spark.sparkContext.defaultParallelism)
         spread = out.repartition(tasks, "period", F.pmod(F.xxhash64("actor", "start"), F.lit(4)))
         spread.write.partitionBy("period").parquet(f"{self.root}/data-{version}")
         written = self.spark.read.parquet(f"{self.root}/data-{version}").select("period").distinct().collect() if not _empty(out) else []
-        manifest = dict(manifest)
+        manifest = {p: path for p, path in manifest.items() if p not in old}  # one whose sessions all moved gets no rows
         for (p,) in written:
             manifest[str(p)] = f"data-{version}/period={p}"
         fs_write(self.spark, f"{self.root}/manifest-{version}.json", json.dumps(manifest))

@@ -305,6 +305,15 @@ def test_failed_batch_changes_nothing(spark, tmp_path, monkeypatch):
     assert [(s.start, s.end, s.events, s.first_id, s.last_id) for s in store.sessions().collect()] == [(0, 12_000_000_000, 5, 0, 200)]
 
 
+def test_period_whose_sessions_all_move_is_left(spark, tmp_path):
+    store = SessionStore(spark, str(tmp_path / "s"))
+    first = int(dt.datetime(2020, 2, 1, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+    spans = lambda *ms: spark.createDataFrame([("a", t := first + m * 60_000_000, t, 1, m, m) for m in ms], SPAN_SCHEMA)
+    store.apply(spans(10))
+    store.apply(spans(-10))
+    assert [(s.events, s.first_id, s.last_id) for s in store.sessions().collect()] == [(2, -10, 10)]
+
+
 def test_addresses(spark):
     forms = [
         "2001:DB8:1:2:0:0:A:B", "2001:0db8:0001:0002:0000:0000:000a:000b", "2001:db8:1:2::a:b", " 10.1.2.3 ", "010.001.02.3", "::ffff:10.1.2.3", "::",
