@@ -149,7 +149,8 @@ def _sessions(spark: SparkSession, d: str) -> DataFrame:
     for low, high in zip(edges[:-1], edges[1:]):
         batch = events
         if low is not None:
-            batch = batch.where(F.col("arrived") > low)
+            after = F.col("arrived") > low
+            batch = batch.where(after if high is not None else after | F.col("arrived").isNull())  # of unknown arrival: in the last batch
         if high is not None:
             batch = batch.where(F.col("arrived") <= high)
         store.apply(event_spans(batch, actor=F.col("actor"), when="revision_when", event_id="page_revision_id"))

@@ -314,6 +314,15 @@ def test_period_whose_sessions_all_move_is_left(spark, tmp_path):
     assert [(s.events, s.first_id, s.last_id) for s in store.sessions().collect()] == [(2, -10, 10)]
 
 
+def test_revisions_of_unknown_arrival_are_in_sessions(spark, tmp_path):
+    from palimpsest.plans.quality import p7_found
+
+    rows = [(i, None if i % 5 == 0 else at(i), i % 3, None, at(100 * i)) for i in range(1, 41)]
+    schema = "page_revision_id long, loaded_at timestamp_ntz, contributor_id long, ip_address string, revision_when timestamp_ntz"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "page_revision.parquet"))
+    assert sorted(map(tuple, p7_found(spark, str(tmp_path)).collect())) == [(i, i) for i in range(1, 41)]
+
+
 def test_addresses(spark):
     forms = [
         "2001:DB8:1:2:0:0:A:B", "2001:0db8:0001:0002:0000:0000:000a:000b", "2001:db8:1:2::a:b", " 10.1.2.3 ", "010.001.02.3", "::ffff:10.1.2.3", "::",
