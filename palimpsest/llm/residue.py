@@ -10,7 +10,7 @@ similarity, so shared shingles in the sets' prefixes propose the others: no pair
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, count
 
 import numpy as np
 import pyarrow as pa
@@ -265,11 +265,11 @@ def _prefixes(sets: DataFrame, *names: str) -> DataFrame:
     return sets.select(*names, F.explode(F.slice("shingles", F.lit(1), keep)).alias("shingle"))
 
 
-def residue_units(units: DataFrame, scratch: Scratch, rounds: int = 1_000) -> DataFrame:
+def residue_units(units: DataFrame, scratch: Scratch, rounds: int | None = None) -> DataFrame:
     """(unit) of all units in a connected component with a trusted one.  ``units``: unit, trusted, simhash, shingles.
 
     The search starts at the trusted units and adds verified neighbours round by round, so buckets of ordinary text are never
-    paired with each other; it ends when a round adds none.  SimHash tables propose pairs within ``HAMMING``, each distinct
+    paired with each other; it ends when a round adds none, and fails if ``rounds`` are given and do not suffice.  SimHash tables propose pairs within ``HAMMING``, each distinct
     (simhash, number of shingles) once; shingle prefixes propose every further pair that can reach ``SIMILARITY``.
     """
     sized = units.where(F.col("simhash").isNotNull()).withColumn("n", F.size("shingles"))
@@ -278,7 +278,7 @@ def residue_units(units: DataFrame, scratch: Scratch, rounds: int = 1_000) -> Da
     frontier = scratch.write(sized.where("trusted").drop("trusted"), "trusted")
     reached = units.where("trusted").select("unit")
     even = F.least("n", "n2") >= SIMILARITY * F.greatest("n", "n2") - 1e-9
-    for _ in range(rounds):
+    for done in count(1):
         theirs = frontier.select(F.col("unit").alias("from"), F.col("simhash").alias("simhash2"), F.col("n").alias("n2"), F.col("shingles").alias("s2"))
         probe = _tables(frontier.select("simhash", "n").distinct()).select(F.col("simhash").alias("simhash2"), F.col("n").alias("n2"), "key")
         near = F.bit_count(F.col("simhash").bitwiseXOR(F.col("simhash2"))) <= HAMMING
@@ -294,7 +294,11 @@ def residue_units(units: DataFrame, scratch: Scratch, rounds: int = 1_000) -> Da
         frontier = scratch.write(others.join(close, "unit", "left_semi"), "frontier")
         if not frontier.take(1):
             break
+        if done == rounds:
+            raise RuntimeError(f"labels still spread after {rounds} rounds")
         reached = reached.unionByName(frontier.select("unit"))
+        if done % 20 == 0:  # else the plan grows with the rounds
+            reached = scratch.write(reached, "reached")
     return reached.distinct()
 
 

@@ -349,3 +349,18 @@ def test_no_link_at_the_lowest_similarity_is_lost(spark, tmp_path):
     units = spark.createDataFrame(rows, "unit string, trusted boolean, simhash long, shingles array<long>")
     assert {int(x.unit) for x in residue_units(units, Scratch(spark, "t")).collect()} == want
     assert len(want) > len(trusted) + 20
+
+
+def test_labels_do_not_stop_in_a_chain(spark):
+    import numpy as np
+
+    from palimpsest.llm.residue import residue_units
+    from palimpsest.scratch import Scratch
+
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(130)]
+    sets = [shingles(" ".join(words[10 * i : 10 * i + 100])) for i in range(4)]
+    rows = [(str(i), i == 0, simhash(s), s.view(np.int64).tolist()) for i, s in enumerate(sets)]
+    units = spark.createDataFrame(rows, "unit string, trusted boolean, simhash long, shingles array<long>")
+    with pytest.raises(RuntimeError):
+        residue_units(units, Scratch(spark, "t"), rounds=1)
+    assert {x.unit for x in residue_units(units, Scratch(spark, "t")).collect()} == {"0", "1", "2", "3"}
