@@ -296,8 +296,8 @@ def content_nodes(nodes: list[Node], keep_share: float = 0.1) -> list[Node]:
     """Nodes that are content by their tag-path ratios.
 
     Per path: characters per node and punctuation marks per node, each smoothed by a Gaussian over the node sequence and scaled by its
-    mean; their product is the score.  A node of plain text below ``keep_share`` of the mean score whose path has a navigation element,
-    or has no punctuation at all in several short nodes of an HTML page, is boilerplate.
+    mean; their product is the score.  A node of plain text, or an item of a menu in ``nav``, whose path has a navigation element is
+    boilerplate if its score is below ``keep_share`` of the mean score or its path has no punctuation.  Other kinds always stay.
     """
     if not nodes:
         return nodes
@@ -317,7 +317,8 @@ def content_nodes(nodes: list[Node], keep_share: float = 0.1) -> list[Node]:
     for n, s in zip(nodes, score):
         tags = set(n.path.split("/"))
         weak = s < keep_share * score.mean()
-        if tags & BOILERPLATE and (weak or not marks[n.path]):
+        menu = n.kind == "item" and "nav" in tags
+        if (n.kind == "text" or menu) and tags & BOILERPLATE and (weak or not marks[n.path]):
             continue
         keep.append(n)
     return keep

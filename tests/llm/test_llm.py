@@ -84,6 +84,11 @@ def test_boilerplate_paths_fall_out():
     assert content_nodes([]) == []
 
 
+def test_structure_in_boilerplate_elements_stays():
+    page = "<header><h1>Title</h1>top</header><p>One, two; three.</p><aside><ul><li>item</ul><table><tr><td>1<td>2</table></aside><nav><ul><li>Home</ul></nav>"
+    assert clean(page)[0] == "§ Title\n\nOne, two; three.\n\n• item\n\n1\t2"
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab <>/[]{}|='*_`#\\$~&;!\n-pli", max_size=80))
 def test_clean_never_fails(text):
