@@ -36,6 +36,7 @@ INLINE = (
 ).split()
 DROPPED = "script style head title meta link noscript iframe object embed svg button select option textarea template".split()
 ELEMENTS = frozenset([*BLOCK, *HEADINGS, *LISTS, *TABLES, *INLINE, *DROPPED])
+EMPTY = frozenset("hr img input meta link col embed".split())
 BOILERPLATE = frozenset("nav footer aside header form".split())
 
 _NAMES = "|".join(sorted(ELEMENTS, key=len, reverse=True))
@@ -106,12 +107,15 @@ _SET_ASIDE = (
     (_FORMULA, re.compile(r"(?<![\\$\w])\$(?=[^\s$])([^$\n]*[\\^_=][^$\n]*)(?<=[^\s$])\$(?![\w$])")),
 )
 _ESCAPED = re.compile(rf"&lt;/?\s*(?:{_NAMES})\b(?:(?!&lt;|&gt;|\n).)*&gt;", re.I)
+#: Where an unclosed element or comment without text of its own ends: a blank line or the tag of a block.
+_BREAK = rf"\n\s*\n|</?(?:{'|'.join((*BLOCK, *HEADINGS, *LISTS, *TABLES))})(?=[\s/>])"
+_COMMENT = re.compile(rf"<!--(?:(?:(?!<!--).)*?-->|.*?(?=<!--|{_BREAK}|\Z))", re.S | re.I)
 _TAG = re.compile(rf"<(/?)({_NAMES})(?=[\s/>])([^<>]*?)(/?)>", re.I)
 
 
 def _inline(text: str) -> str:
     """Text of inline markup, without its marks."""
-    s = re.sub(r"<!--.*?(?:-->|$)", "", text, flags=re.S)
+    s = _COMMENT.sub("", text)
     s = re.sub(r"<ref\b[^<>]*/>|<ref\b[^<>]*>.*?</ref\s*>|</?ref\b[^<>]*>?", "", s, flags=re.S | re.I)
     s = re.sub(r"\\(?:begin|end)\{[^{}]*\}", "", s)
     for _ in range(4):  # nested templates from the inside out
@@ -140,6 +144,20 @@ def _inline(text: str) -> str:
     return html.unescape(s)
 
 
+def _unclosed(text: str) -> set[int]:
+    """Places of the opening tags of dropped elements that no closing tag follows."""
+    opened = defaultdict(list)
+    for m in _TAG.finditer(text):
+        name = m[2].lower()
+        if name not in DROPPED or name in EMPTY or m[4]:
+            continue
+        if not m[1]:
+            opened[name].append(m.start())
+        elif opened[name]:
+            opened[name].pop()
+    return {at for places in opened.values() for at in places}
+
+
 def _html_nodes(text: str, wiki: bool = False) -> Iterator[Node]:
     """Nodes of a text with HTML elements; unknown angle brackets are text, unclosed and stray tags are tolerated."""
     stack: list[str] = []
@@ -162,12 +180,22 @@ def _html_nodes(text: str, wiki: bool = False) -> Iterator[Node]:
         else:
             yield from _line_nodes(piece, path, wiki)
 
+    unclosed, skipping = _unclosed(text), False
+
+    def take(piece: str) -> None:
+        nonlocal skipping
+        if skipping:  # after an unclosed dropped element, up to a blank line
+            rest = re.split(r"\n\s*\n", piece, maxsplit=1)
+            skipping, piece = len(rest) == 1, "\n\n".join(["", *rest[1:]])
+        buffer.append(piece)
+
     last = 0
     for m in _TAG.finditer(text):
-        buffer.append(text[last : m.start()])
+        take(text[last : m.start()])
         last = m.end()
         closing, name, _, empty = m.groups()
         name = name.lower()
+        skipping = m.start() in unclosed or (skipping and (name == "br" or name in INLINE or name in DROPPED))
         if name == "br":
             buffer.append("\n" if not closing else "")
             continue
@@ -182,11 +210,11 @@ def _html_nodes(text: str, wiki: bool = False) -> Iterator[Node]:
             if name in stack:
                 while stack.pop() != name:
                     pass
-        elif not empty and name not in ("hr", "img", "input", "meta", "link", "col"):
+        elif not empty and name not in EMPTY and m.start() not in unclosed:
             if name in ("p", "li", "td", "th", "tr") and stack and stack[-1] == name:
                 stack.pop()
             stack.append(name)
-    buffer.append(text[last:])
+    take(text[last:])
     yield from flush()
     if cells:
         yield Node("/".join(["html", *stack]), "row", 1, "\t".join(cells))
@@ -348,7 +376,8 @@ def clean(text: str, kinds: set[str] | None = None) -> tuple[str, dict[str, int]
 
     for mark, form in _SET_ASIDE:
         hidden = form.sub(put_aside(mark), hidden)
-    hidden = re.sub(r"<!--.*?(?:-->|$)|<(script|style)\b[^<>]*>.*?</\1\s*>", "", hidden, flags=re.S | re.I)
+    hidden = _COMMENT.sub("", hidden)
+    hidden = re.sub(r"<(script|style)\b[^<>]*>.*?</\1\s*>", "", hidden, flags=re.S | re.I)
     hidden = re.sub(r"<ref\b[^<>]*/>|<ref\b[^<>]*>.*?</ref\s*>", "", hidden, flags=re.S | re.I)
     hidden = re.sub(r"\{\{\s*Infobox[^{}]*\}\}", "", hidden, flags=re.S)
     wiki = len(_WIKI_SIGN.findall(text)) > len(_MARKDOWN_SIGN.findall(text))

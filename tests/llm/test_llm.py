@@ -84,6 +84,15 @@ def test_boilerplate_paths_fall_out():
     assert content_nodes([]) == []
 
 
+def test_unclosed_elements_and_comments_end_at_a_block():
+    assert clean("<p>One.</p><embed src='x'>two<p>Three.</p>")[0] == "One.\n\ntwo\n\nThree."
+    for broken in ("<script>f(1)", "<iframe src='x'>g", "<option>h", "<!-- i", "<svg><b>j</b>"):
+        assert clean(f"<p>One.</p>{broken}<p>Two.</p><div>Three.</div>")[0] == "One.\n\nTwo.\n\nThree."
+        assert clean(f"<p>One.</p>\n{broken}\n\nTwo <b>three</b>.")[0] == "One.\n\nTwo three."
+    assert clean("<p>One.</p><!-- a <p>b</p> --><noscript><p>c</p></noscript>\n\nTwo.")[0] == "One.\n\nTwo."
+    assert clean("[[a]] <!-- b\n\nc <!-- d --> e")[0] == "a\n\nc e"
+
+
 def test_structure_in_boilerplate_elements_stays():
     page = "<header><h1>Title</h1>top</header><p>One, two; three.</p><aside><ul><li>item</ul><table><tr><td>1<td>2</table></aside><nav><ul><li>Home</ul></nav>"
     assert clean(page)[0] == "§ Title\n\nOne, two; three.\n\n• item\n\n1\t2"
