@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,12 +46,13 @@ def bloom_filter(keys: DataFrame, key: str, max_bits: int = 1 << 26, bits_per_ke
     return spark.createDataFrame([(bytearray(out.toByteArray()),)], "bloom binary"), count
 
 
-def might_contain(bloom: DataFrame, key: Column) -> Column:
-    """Bloom test inside whole-stage codegen; the filter enters the plan as a scalar subquery."""
-    jvm = bloom.sparkSession.sparkContext._jvm
+def might_contain(bloom: DataFrame | Column, key: Column) -> Column:
+    """Bloom test inside whole-stage codegen; a table's filter enters the plan as a scalar subquery, else it is a binary literal."""
+    jvm = SparkContext._active_spark_context._jvm
     utils = jvm.org.apache.spark.sql.classic.ExpressionUtils
+    bits = bloom if isinstance(bloom, Column) else bloom.scalar()
     test = jvm.org.apache.spark.sql.catalyst.expressions.BloomFilterMightContain(
-        utils.expression(bloom.scalar()._jc), utils.expression(F.xxhash64(key.cast("long"))._jc)
+        utils.expression(bits._jc), utils.expression(F.xxhash64(key.cast("long"))._jc)
     )
     return Column(utils.column(test))
 
