@@ -95,7 +95,7 @@ SCRIPTS = (
     rf"(?:^|\b(?:please|you|your|this|the|must|to|some|our) )[^.!?;]*?{_ENABLE}[^.!?;]*?\b{_SCRIPT}\b|(?:^|[,:] ?|\b(?:as|because|that|if|once|when|unless|until|have|your) ){_SCRIPT}\b[^.!?;]*? {_ENABLE}\b",
     r"\byour browser (?:is (?:too old|not supported|out of date|outdated|unsupported)|does(?: not|n['’]t) support|has (?:them|it) (?:switched|turned))",
     r"(?:update|upgrade) (?:it|your browser|to a (?:newer|modern|supported) (?:browser|version))\b|unsupported browser",
-    r"(?:will|does|may|can)(?: not|n['’]t)|won['’]t (?:load|work|function|display)[^.!?;]*? without (?:it|scripts|java ?script)",
+    r"(?:(?:will|does|may|can)(?: not|n['’]t)|won['’]t) (?:load|work|function|display)[^.!?;]*? without (?:it|scripts|java ?script)",
     r"^\W{0,3}(?:checking (?:your|if|that)|verifying (?:you|that you)|(?:please )?(?:verify|prove|confirm) (?:that )?you(?:['’]re| are)|just a moment|please wait while)[^.!?;]*?(?:connection|browser|human|secure|verif|moment|redirect)?",
     r"(?:activer?|activez|nécessite|requiert|besoin)[^.!?;]*?(?:java ?script|scripts)|java ?script[^.!?;]*? (?:désactivé|requis|nécessaire|activé)",
     r"(?:aktivieren|benötigt|erfordert|einschalten|werden)[^.!?;]*?(?:java ?script|skripte)|(?:java ?script|skripte)[^.!?;]*? (?:deaktiviert|benötigt|erforderlich|aktiviert|aktivieren|ausgeschaltet)",
