@@ -28,7 +28,7 @@ def datediff_boundaries(unit: str, start: Column, end: Column) -> Column:
 
 def avg_int(total: Column, count: Column) -> Column:
     """Integer average: the quotient without its fraction; null for no rows."""
-    return F.when(count > 0, (total / count).cast("long"))
+    return F.when(count > 0, F.call_function("div", total, count))
 
 
 def ci_like(text: Column, pattern: str) -> Column:
@@ -58,3 +58,21 @@ def gzip_length(text: Column) -> Column:
         return pd.Series([None if t is None else len(gzip.compress(t.encode(), mtime=0)) for t in texts], dtype="Int64")
 
     return F.pandas_udf(size, "long")(text)
+
+
+def gzip_bytes(text: Column) -> Column:
+    """The gzip-compressed text."""
+
+    def pack(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else gzip.compress(t.encode(), mtime=0))
+
+    return F.pandas_udf(pack, "binary")(text)
+
+
+def gunzip(data: Column) -> Column:
+    """The text of gzip-compressed bytes."""
+
+    def unpack(parts: pd.Series) -> pd.Series:
+        return parts.map(lambda b: None if b is None else gzip.decompress(b).decode())
+
+    return F.pandas_udf(unpack, "string")(data)

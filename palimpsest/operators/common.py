@@ -38,18 +38,26 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-#: A lookup table of at most so many rows is broadcast; its rows are counted first.
+#: A lookup table of at most so many rows and bytes is broadcast; both are measured first.
 BROADCAST_ROWS = 10_000
+BROADCAST_BYTES = 8 << 20
+
+
+def is_short(df: DataFrame) -> bool:
+    """Whether a table may be broadcast: few rows, and few bytes as JSON, which no column's value is longer than."""
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long")), F.lit(0))
+    rows, size = df.limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)), size).first()
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
 def salted_lookup(df: DataFrame, lookup: DataFrame, keys: str | list[str], how: str = "left", salts: int = 8) -> DataFrame:
     """Join (``left`` or ``inner``) to a lookup table of one row per key; a hot key's rows, null keys too, are spread over ``salts`` tasks.
 
-    A lookup of at most ``BROADCAST_ROWS`` rows, by count, is broadcast as it is.  A longer one is copied to every salt and joined by
-    a shuffle; the hint keeps Spark, whose size estimate does not see the copies, from broadcasting them.
+    A lookup that ``is_short`` is broadcast as it is.  A longer one is copied to every salt and joined by a shuffle; the hint keeps
+    Spark, whose size estimate does not see the copies, from broadcasting them.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if lookup.count() <= BROADCAST_ROWS:
+    if is_short(lookup):
         return df.join(F.broadcast(lookup), keys, how)
     rest = [c for c in df.columns if c not in keys]
     salt = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int") if rest else F.lit(0)
@@ -60,7 +68,9 @@ def salted_lookup(df: DataFrame, lookup: DataFrame, keys: str | list[str], how:
 def spread(df: DataFrame, per_core: int = 4) -> DataFrame:
     """``df`` in enough partitions to keep all cores busy with work that costs far more than its bytes suggest.
 
-    An input that has two partitions a core or more is left as it is, so large inputs are not shuffled.
+    Rows straight from a scan of two partitions a core or more stay where they are, so large inputs are not shuffled.  The number is
+    read from the plan; nothing runs for it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(per_core * cores)
+    shuffled = "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+    return df if not shuffled and df.rdd.getNumPartitions() >= 2 * cores else df.repartition(per_core * cores)

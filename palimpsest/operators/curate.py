@@ -80,8 +80,8 @@ def missing_rows(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> D
 
 def merge_counts(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """One row (added, already): keys that an insert-only merge adds, and rows it does not."""
-    flagged = incoming.join(existing.select(*keys).distinct().withColumn("__there", F.lit(True)), keys, "left")
-    seen = flagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max("__there").alias("there"))
+    counted = incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))  # first, so that no hot key crosses the join
+    seen = counted.join(existing.select(*keys).distinct().withColumn("there", F.lit(True)), keys, "left")
     added = F.coalesce(F.count_if(F.col("there").isNull()), F.lit(0))
     return seen.agg(added.alias("added"), (F.coalesce(F.sum("n"), F.lit(0)) - added).alias("already"))
 

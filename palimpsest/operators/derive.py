@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.functions.tsql import utf16_len
 from palimpsest.operators.curate import RETAIN_EVERY, retained
 from palimpsest.schemas import COMMENT_CAP, REDIRECT_CAP
 from palimpsest.sources.dump import BLANK_MARK
@@ -59,22 +60,24 @@ def pages_table(pages: DataFrame) -> DataFrame:
     )
 
 
-def revisions_table(pages: DataFrame, *, every: int = RETAIN_EVERY, compat: bool = False) -> DataFrame:
+def revisions_table(pages: DataFrame, *, every: int = RETAIN_EVERY, compat: bool = False, utf16: bool = False, keep: list[str] | None = None) -> DataFrame:
     """Rows of all revisions with ``user_name`` and the retained ``article_text``.
 
     Flags follow the parsed text, availability the retained one.  The order of a page's revisions is that of their ids, whatever
     their order in the file.  No shuffle: a page is one row.  ``compat`` sets the length of a dropped text to 0, as the reference
     does; by default the true length stays.  A first revision without parent has parent 0.  Comments keep their first 800 characters.
+    ``utf16`` counts lengths in UTF-16 units instead of characters; ``keep`` names columns of ``pages`` to repeat on every row.
     """
+    extra = list(keep or [])
     ordered = F.array_sort("revision", lambda a, b: F.when(a["id"] < b["id"], -1).when(a["id"] > b["id"], 1).otherwise(0))
-    flat = pages.withColumn("n", F.size("revision")).select("ns", F.col("id").alias("page_id"), "n", F.posexplode(ordered).alias("i", "r"))
+    flat = pages.withColumn("n", F.size("revision")).select("ns", F.col("id").alias("page_id"), "n", *extra, F.posexplode(ordered).alias("i", "r"))
     text = element_value(F.col("r.text"))
     kind = contributor_kind(F.col("r.contributor"))
-    keep = retained(F.col("i"), F.col("n"), every)
-    length = F.coalesce(F.length(text), F.lit(0))
+    held = retained(F.col("i"), F.col("n"), every)
+    length = F.coalesce(utf16_len(text) if utf16 else F.length(text), F.lit(0))
     if compat:
-        length = F.when(keep, length).otherwise(F.lit(0))
-    kept = F.when(keep, text)
+        length = F.when(held, length).otherwise(F.lit(0))
+    kept = F.when(held, text)
     return flat.select(
         F.col("ns").alias("namespace_id"),
         "page_id",
@@ -91,6 +94,7 @@ def revisions_table(pages: DataFrame, *, every: int = RETAIN_EVERY, compat: bool
         (kind == "deleted").alias("user_deleted"),
         F.when(kind == "registered", F.col("r.contributor.username")).alias("user_name"),
         kept.alias("article_text"),
+        *extra,
     )
 
 

@@ -6,14 +6,19 @@ the order of ties open, a key decides.  Aggregates run before dimension joins, a
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.functions.tsql import after_first, avg_int, ci_in, ci_like, datediff_boundaries, gzip_length, iso_seconds, tsql_len
+from palimpsest.functions.tsql import (
+    after_first, avg_int, ci_in, ci_like, datediff_boundaries, gunzip, gzip_bytes, gzip_length, iso_seconds, tsql_len, utf16_len,
+)
+from palimpsest.operators.common import salted_lookup, spread
 from palimpsest.operators.curate import merge_counts, needed_revisions, ordinal_in_group, retained, upsert
 from palimpsest.operators.derive import pages_table, revisions_table
 from palimpsest.plans.tables import table
-from palimpsest.sources.dump import parse_page, to_page_xml, to_revision_xml
+from palimpsest.sources.dump import escape_xml, parse_page, to_page_xml, to_revision_xml
 
 #: Bounds of the histogram of revisions per page; null: no upper bound.
 STRICT_BOUNDS = (
@@ -26,6 +31,8 @@ CONTRIBUTOR = 8113
 ROBOTS = (502, 13377, 4096, 27140)
 PHRASE = "%article%"
 PROJECT_NAMESPACE = 4
+#: Where the discussion of an article is found, and how its title begins before the article's name.
+DISCUSSION_NAMESPACE, DISCUSSION_PREFIX = 1, ""
 FROM, TO = "2016-01-02", "2017-10-01"
 NAMES = ("TIDYBOT", "orsolin", "LinkMender", "PatrolFox", "nobody")
 PAGE = 4417
@@ -50,7 +57,7 @@ def _activity(spark: SparkSession, d: str) -> DataFrame:
     return e.select(
         F.col("user_id").alias("RunID"), F.col("event_id").alias("ActivityID"), F.col("event_type").alias("Activity"),
         F.col("ts").alias("StartTime"), (F.col("event_id") % 997).alias("TargetPageID"),
-        F.round(F.col("value") * 1000).cast("long").alias("DurationMillis"), F.lit(1).cast("long").alias("WorkCount"),
+        F.round(F.col("value") * 1000).cast("long").alias("DurationMillis"), (F.col("event_id") % 7 + 1).cast("long").alias("WorkCount"),
     )
 
 
@@ -100,6 +107,11 @@ def scan_5_longest_steps(spark, d):
     return a.where(_some_activity(a)).orderBy(F.desc("DurationMillis"), "ActivityID")
 
 
+def scan_5_longest_merges(spark, d):
+    a = _activity(spark, d)
+    return a.where(a["Activity"] == "purchase").orderBy(F.desc("DurationMillis"), "ActivityID")
+
+
 def scan_6_user_by_name(spark, d, name="orsolin"):
     users = table(spark, d, "wiki_user")
     return users.where(ci_in(F.col("user_name"), [name]))
@@ -114,6 +126,10 @@ def scan_6_contribution_keys(spark, d, contributor=CONTRIBUTOR):
     return scan_6_contributions(spark, d, contributor).select("contributor_id", "namespace_id", "page_id", "page_revision_id")
 
 
+def scan_6_contribution_revisions(spark, d, contributor=CONTRIBUTOR):
+    return scan_6_contributions(spark, d, contributor).select("namespace_id", "page_id", "page_revision_id")
+
+
 def scan_7_deleted_users(spark, d):
     return _revisions(spark, d).where("user_deleted")
 
@@ -305,17 +321,22 @@ def join_6_text_missing(spark, d):
     return out.toDF("NamespaceID", "PageID", "PageRevisionID").orderBy("NamespaceID", "PageID", "PageRevisionID")
 
 
+def _rows_without(rows, known, key):
+    """``rows`` whose ``key`` is not among ``known``: keys are reduced before they meet, so a hot key crosses the shuffle once."""
+    absent = rows.select(key).distinct().join(known.select(key), key, "left_anti")
+    return salted_lookup(rows, absent, key, "inner").select(*rows.columns)
+
+
 def join_7_no_page(spark, d):
     """Revisions of unknown pages.  Page ids are never null, so NOT IN is a plain anti join that drops null left sides."""
     r = _revisions(spark, d).where(F.col("page_id").isNotNull())
-    return r.join(_pages(spark, d).select("page_id"), "page_id", "left_anti").select(*r.columns)
+    return _rows_without(r, _pages(spark, d), "page_id")
 
 
 def join_8_unknown_users(spark, d):
     """Revisions credited to an id other than 0 that is no user; anonymous revisions are left out, as NOT IN does."""
     r = _revisions(spark, d).where(F.col("contributor_id").isNotNull() & (F.col("contributor_id") != 0))
-    users = table(spark, d, "wiki_user").select(F.col("user_id").alias("contributor_id"))
-    return r.join(users, "contributor_id", "left_anti").select(*r.columns)
+    return _rows_without(r, table(spark, d, "wiki_user").withColumnRenamed("user_id", "contributor_id"), "contributor_id")
 
 
 def join_9_unknown_users_sample(spark, d):
@@ -333,23 +354,37 @@ def join_10_page_bounds(spark, d, contributor=CONTRIBUTOR, phrase=PHRASE, namesp
     return wanted.join(bounds, "page_id", "left").select("page_revision_id", "page_id", "MinRevWhen", "MaxRevWhen")
 
 
-def join_11_longer_title(spark, d):
-    """Per page of the project namespace, the first other title that begins with its own and a slash.
+def first_with_prefix(names: DataFrame, titles: DataFrame, prefix: str) -> DataFrame:
+    """(PageName, DiscussionPage): of each name the first of ``titles`` (column title) that begins with ``prefix`` and the name.
 
-    The prefix before the first slash is an equi-join key, so no pair of unrelated titles meets.
+    Case does not count, wildcards in a name are plain characters.  Every title is joined by the beginnings it has after the prefix,
+    so the work is linear in the text of the titles, and a name keeps one title before anything is joined to it.
     """
-    pages = _pages(spark, d).where(F.col("namespace_id") == PROJECT_NAMESPACE).select("page_id", "page_name").distinct()
-    longer = pages.where(F.instr("page_name", "/") > 0).groupBy(F.substring_index("page_name", "/", 1).alias("page_name"))
-    firsts = longer.agg(F.min("page_name").alias("DiscussionPage"))
-    return pages.join(firsts, "page_name", "left").select("page_id", "page_name", "DiscussionPage")
+    rest = F.lower(F.substring("title", len(prefix) + 1, 1 << 30))
+    fitting = titles.where(F.startswith(F.lower("title"), F.lit(prefix.lower()))).select("title", rest.alias("rest"))
+    starts = fitting.select("title", F.explode(F.transform(F.sequence(F.lit(0), F.length("rest")), lambda n: F.substring(F.col("rest"), F.lit(1), n))).alias("start"))
+    asked = names.select(F.col("PageName"), F.lower("PageName").alias("start")).distinct()
+    firsts = starts.join(asked.select("start").distinct(), "start", "left_semi").groupBy("start").agg(F.min("title").alias("DiscussionPage"))
+    return asked.join(firsts, "start").select("PageName", "DiscussionPage")
+
+
+def _discussions(spark, d, names, namespace, prefix):
+    titles = _pages(spark, d).where(F.col("namespace_id") == namespace).select(F.col("page_name").alias("title")).distinct()
+    return names.join(first_with_prefix(names, titles, prefix), "PageName", "left")
+
+
+def join_11_discussion_page(spark, d, namespace=DISCUSSION_NAMESPACE, prefix=DISCUSSION_PREFIX):
+    """Per article, the first title of the discussion namespace that begins with a fixed prefix and the article's name."""
+    names = _pages(spark, d).where("namespace_id = 0").select("page_id", F.col("page_name").alias("PageName")).distinct()
+    return _discussions(spark, d, names, namespace, prefix).select("page_id", "PageName", "DiscussionPage")
 
 
 def join_14_sizes(spark, d):
     """Per source file, bytes of runs that succeeded and of the others, in MB; correlated sums as one aggregate."""
     ok = F.coalesce(F.col("result").startswith("Success"), F.lit(False))
-    mb = F.col("source_file_size") * F.lit(8.0) / F.lit(1024)
+    mb = F.col("source_file_size").cast("decimal(20,0)") * F.lit(Decimal("8.0")) / F.lit(Decimal(1024))
     sums = table(spark, d, "load_run").groupBy(F.col("source_file_name").alias("SourceFileName")).agg(
-        F.round(F.sum(F.when(ok, mb)), 3).alias("LoadedMB"), F.round(F.sum(F.when(~ok, mb)), 3).alias("OtherMB")
+        F.round(F.sum(F.when(ok, mb)), 3).cast("double").alias("LoadedMB"), F.round(F.sum(F.when(~ok, mb)), 3).cast("double").alias("OtherMB")
     )
     return sums.orderBy(F.desc("LoadedMB"), "SourceFileName")
 
@@ -396,19 +431,25 @@ def top_4_contributors(spark, d, k=10):
     ).limit(k)
 
 
-def top_5_longest_texts(spark, d, k=10):
+def _longest_texts(spark, d, k):
     texts = table(spark, d, "page_revision_text").where("namespace_id = 0")
-    texts = texts.dropDuplicates(["page_revision_id"])
-    top = texts.select("page_id", "page_revision_id", tsql_len(F.col("article_text")).alias("ArticleLength"), "article_text")
-    top = top.orderBy(F.desc("ArticleLength"), "page_revision_id").limit(k)
-    return top.select(
+    sizes = texts.select("page_id", "page_revision_id", tsql_len(F.col("article_text")).alias("ArticleLength")).distinct()
+    return sizes.orderBy(F.desc("ArticleLength"), "page_revision_id").limit(k)
+
+
+def top_5_longest_texts(spark, d, k=10):
+    """Only keys and lengths are ranked; the k texts are fetched after that."""
+    top = _longest_texts(spark, d, k)
+    texts = table(spark, d, "page_revision_text").where("namespace_id = 0").select("page_revision_id", "article_text")
+    found = texts.join(F.broadcast(top), "page_revision_id").dropDuplicates(["page_id", "page_revision_id"])  # k rows
+    return found.select(
         F.col("page_id").alias("PageID"), F.col("page_revision_id").alias("PageRevisionID"), "ArticleLength",
         gzip_length(F.col("article_text")).alias("CompressedLength"),
-    )
+    ).orderBy(F.desc("ArticleLength"), "PageRevisionID")
 
 
 def top_5_longest_lengths(spark, d, k=10):
-    return top_5_longest_texts(spark, d, k).drop("CompressedLength")
+    return _longest_texts(spark, d, k).withColumnsRenamed({"page_id": "PageID", "page_revision_id": "PageRevisionID"})
 
 
 # --- Composite statements ------------------------------------------------------------------------------------------------------
@@ -438,19 +479,27 @@ def comp_3_period_rows(spark, d, **kw):
     return x.orderBy("RevLow", "PageID").select(row.alias("Row"))
 
 
-def comp_4_period_discussions(spark, d, **kw):
-    x = _period_names(spark, d, **kw)
-    project = _pages(spark, d).where((F.col("namespace_id") == PROJECT_NAMESPACE) & (F.instr("page_name", "/") > 0))
-    firsts = project.groupBy(F.substring_index("page_name", "/", 1).alias("PageName")).agg(F.min("page_name").alias("DiscussionPage"))
-    joined = x.join(firsts, "PageName", "left")
+def comp_4_period_discussions(spark, d, namespace=0, prefix=DISCUSSION_PREFIX, **kw):
+    """Of a contributor's pages the period and the first title of a namespace that begins with a prefix and the page's name."""
+    joined = _discussions(spark, d, _period_names(spark, d, **kw), namespace, prefix)
     return joined.orderBy("RevLow", "PageID").select("RevLow", "PageName", iso_seconds(F.col("RevHigh")).alias("RevHigh"), "DiscussionPage")
 
 
-def comp_5_one_text(spark, d, revision=None):
+def _one_text(spark, d, revision):
     texts = table(spark, d, "page_revision_text")
     wanted = texts.agg(F.min("page_revision_id").alias("page_revision_id")) if revision is None else spark.createDataFrame([(revision,)], "page_revision_id long")
-    one = texts.join(F.broadcast(wanted), "page_revision_id").dropDuplicates(["page_revision_id"])  # one row
-    return one.select("page_revision_id", gzip_length(F.col("article_text")).alias("CompressedLength"))
+    return texts.join(F.broadcast(wanted), "page_revision_id").dropDuplicates(["page_revision_id"])  # one row
+
+
+def comp_5_one_text(spark, d, revision=None):
+    """The compressed bytes of one text."""
+    one = _one_text(spark, d, revision)
+    return one.select("page_revision_id", gzip_bytes(F.col("article_text")).alias("Compressed"))
+
+
+def comp_5_text_restored(spark, d, revision=None):
+    """The same text after compression and decompression, as its hash."""
+    return comp_5_one_text(spark, d, revision).select("page_revision_id", F.md5(gunzip(F.col("Compressed"))).alias("TextHash"))
 
 
 def comp_6_page_users(spark, d, page=PAGE, k=100):
@@ -519,18 +568,73 @@ def stat_6_pages_per_namespace(spark, d):
     return r.groupBy(F.col("namespace_id").alias("NamespaceID")).agg(F.count(F.lit(1)).alias("Pages"))
 
 
-def ing_1_round_trip(spark, d):
-    """Every document written as a one-revision page of a dump and parsed back: id, title and text hash."""
+def _written_pages(spark, d):
+    """Every document written as a one-revision page of a dump and parsed back."""
     docs = table(spark, d, "documents")
     revision = to_revision_xml(F.col("doc_id"), F.col("fetched_at"), F.lit("A & B"), F.col("text"))
     xml = to_page_xml(F.col("title"), F.lit(0), F.col("doc_id"), revision)
-    pages = docs.select(parse_page(xml).alias("page")).select("page.*")
-    return revisions_table(pages).join(pages_table(pages), ["namespace_id", "page_id"]).select(
-        F.col("page_id").alias("doc_id"), F.col("page_name").alias("title"), F.md5("article_text").alias("text_hash"),
-        F.col("article_text_length").cast("long").alias("n_chars"), "user_name",
+    return spread(docs.select(xml.alias("xml"))).select(parse_page(F.col("xml")).alias("page")).select("page.*")
+
+
+def ing_1_round_trip(spark, d):
+    """Id, title, time, user, text hash and length of the documents parsed back."""
+    rows = revisions_table(_written_pages(spark, d), keep=["title"])
+    return rows.select(
+        F.col("page_id").alias("doc_id"), "title", F.md5("article_text").alias("text_hash"), F.col("article_text_length").cast("long").alias("n_chars"),
+        "user_name", F.date_trunc("second", F.col("revision_when")).cast("timestamp_ntz").alias("fetched_second"),
+    )
+
+
+def _edge_pages(spark, d):
+    """Every user as a page whose one revision shows a different edge case of a dump, by the user's id."""
+    users = table(spark, d, "wiki_user").groupBy("user_id").agg(F.min("user_name").alias("user_name"))
+    case = F.col("user_id") % 6
+    name = F.concat(F.lit("<username>"), escape_xml(F.col("user_name")), F.lit("</username>"))
+    contributor = (
+        F.when(case == 0, F.lit("<contributor><ip>192.0.2.7</ip></contributor>"))
+        .when(case == 1, F.lit('<contributor deleted="deleted" />'))
+        .when(case == 2, F.concat(F.lit("<contributor>"), name, F.lit("<id>0</id></contributor>")))
+        .otherwise(F.concat(F.lit("<contributor>"), name, F.lit("<id>"), F.col("user_id").cast("string"), F.lit("</id></contributor>")))
+    )
+    text = F.when(case == 3, F.lit("<text />")).when(case == 4, F.lit("<text></text>")).otherwise(F.concat(F.lit("<text>"), escape_xml(F.col("user_name")), F.lit("</text>")))
+    comment = F.when(case == 5, F.concat(F.lit("<comment>"), F.repeat(F.lit("c"), 900), F.lit("</comment>"))).when(case == 4, F.lit("<comment/>")).otherwise(F.lit(""))
+    extra = F.concat(F.when(case == 2, F.lit("<minor />")).otherwise(F.lit("")), F.when(case == 0, F.lit("<parentid>77</parentid>")).otherwise(F.lit("")))
+    redirect = F.when(case == 1, F.lit('<redirect title="Another page" />')).otherwise(F.lit(""))
+    revision = F.concat(F.lit("<revision><id>"), F.col("user_id").cast("string"), F.lit("</id>"), extra, F.lit("<timestamp>2020-01-02T03:04:05Z</timestamp>"), contributor, comment, text, F.lit("</revision>"))
+    xml = F.concat(F.lit("<page><title>T"), F.col("user_id").cast("string"), F.lit("</title><ns>0</ns><id>"), F.col("user_id").cast("string"), F.lit("</id>"), redirect, revision, F.lit("</page>"))
+    return users.select(parse_page(xml).alias("page")).select("page.*")
+
+
+def ing_2_edge_cases(spark, d):
+    """The revisions of ``_edge_pages``: contributor kinds, named user 0, deleted and empty texts, capped comments, parents, minor edits."""
+    return revisions_table(_edge_pages(spark, d)).select(
+        "page_id", "parent_page_revision_id", "contributor_id", "ip_address", F.length("comment").alias("comment_length"), "text_available", "is_minor",
+        "article_text_length", "text_deleted", "user_deleted", "user_name", "article_text", F.col("revision_when").cast("timestamp_ntz").alias("revision_when"),
     )
 
 
+def ing_3_redirects(spark, d):
+    return pages_table(_edge_pages(spark, d)).select("page_id", "page_name", "redirect_title")
+
+
+# --- Expressions of the dialect ------------------------------------------------------------------------------------------------
+def str_3_after_slash(spark, d):
+    """Of every comment with a slash, up to 99 characters after the first."""
+    r = _revisions(spark, d).where(F.instr("comment", "/") > 0)
+    return r.select("page_revision_id", after_first(F.col("comment"), "/").alias("Rest"))
+
+
+def dt_5_day_number(spark, d):
+    """A date as a number of days."""
+    return spark.range(1).select(F.unix_date(F.lit("2024-08-01").cast("date")).alias("DayNumber"))
+
+
+def utf_16_lengths(spark, d):
+    """Length of every text in characters and in UTF-16 units."""
+    texts = table(spark, d, "page_revision_text").select("page_revision_id", F.length("article_text").alias("Characters"), utf16_len(F.col("article_text")).alias("Units"))
+    return texts.distinct()
+
+
 def set_1_counts_union(spark, d):
     """The one set operation of the reference: named counts, one below the other."""
     return (
@@ -541,5 +645,5 @@ def set_1_counts_union(spark, d):
 
 QUERIES = {
     name: f for name, f in list(globals().items())
-    if name.split("_")[0] in ("scan", "agg", "join", "top", "comp", "cur", "stat", "set", "ing") and callable(f)
+    if name.split("_")[0] in ("scan", "agg", "join", "top", "comp", "cur", "stat", "set", "ing", "str", "dt", "utf") and callable(f)
 }

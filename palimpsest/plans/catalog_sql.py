@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from palimpsest.plans.catalog import BOUNDS, CONTRIBUTOR, FROM, NAMES, PAGE, PHRASE, PROJECT_NAMESPACE, ROBOTS, RUN_KEY, STRICT_BOUNDS, TO
+from palimpsest.plans.catalog import BOUNDS, CONTRIBUTOR, DISCUSSION_NAMESPACE, DISCUSSION_PREFIX, FROM, NAMES, PAGE, PHRASE, PROJECT_NAMESPACE, ROBOTS, RUN_KEY, STRICT_BOUNDS, TO
 
 _ACTIVITY = """(SELECT user_id AS "RunID", event_id AS "ActivityID", event_type AS "Activity", ts AS "StartTime", event_id % 997 AS "TargetPageID",
-  CAST(round(value * 1000) AS BIGINT) AS "DurationMillis", CAST(1 AS BIGINT) AS "WorkCount" FROM events)"""
+  CAST(round(value * 1000) AS BIGINT) AS "DurationMillis", CAST(event_id % 7 + 1 AS BIGINT) AS "WorkCount" FROM events)"""
 _MINE = f"contributor_id = {CONTRIBUTOR} AND comment ILIKE '{PHRASE}'"
 _ROBOTS = ", ".join(map(str, ROBOTS))
 _TIMED = "SELECT *, CAST(datediff('millisecond', start_time, end_time) AS BIGINT) AS \"DurationMillis\" FROM load_run"
@@ -33,6 +33,11 @@ SELECT CAST(lo AS INTEGER) AS "LowBound", CAST(hi AS INTEGER) AS "HighBound", co
 FROM c JOIN b ON n {low} lo AND (hi IS NULL OR n {high} hi) GROUP BY 1, 2"""
 
 
+def _discussion(name: str, namespace: int = DISCUSSION_NAMESPACE) -> str:
+    return f"""(SELECT min(q.page_name) FROM wiki_page q WHERE q.namespace_id = {namespace}
+    AND starts_with(lower(q.page_name), lower('{DISCUSSION_PREFIX}' || {name})))"""
+
+
 def _top_pages(on: str) -> str:
     return f"""SELECT s.namespace_name AS "NamespaceName", p.page_name AS "PageName", t.n AS "RevisionCount" FROM (
     SELECT namespace_id, page_id, count(page_revision_id) AS n FROM page_revision GROUP BY 1, 2 ORDER BY 3 DESC, 2, 1 LIMIT 100) t
@@ -48,6 +53,8 @@ ORACLE = {
     "scan_4_activity_by_page": f'SELECT * FROM {_ACTIVITY} WHERE "RunID" = 50',
     "scan_5_recent_steps": f"SELECT * FROM {_ACTIVITY} WHERE \"Activity\" = 'view'",
     "scan_5_longest_steps": f"SELECT * FROM {_ACTIVITY} WHERE \"Activity\" = 'view'",
+    "scan_5_longest_merges": f"SELECT * FROM {_ACTIVITY} WHERE \"Activity\" = 'purchase'",
+    "scan_6_contribution_revisions": f"SELECT namespace_id, page_id, page_revision_id FROM page_revision WHERE contributor_id = {CONTRIBUTOR}",
     "scan_6_user_by_name": "SELECT * FROM wiki_user WHERE lower(rtrim(user_name)) = 'orsolin'",
     "scan_6_contributions": f"SELECT * FROM page_revision WHERE contributor_id = {CONTRIBUTOR}",
     "scan_6_contribution_keys": f"SELECT contributor_id, namespace_id, page_id, page_revision_id FROM page_revision WHERE contributor_id = {CONTRIBUTOR}",
@@ -97,8 +104,8 @@ ORACLE = {
     "join_9_unknown_users_sample": "SELECT * FROM page_revision WHERE contributor_id NOT IN (SELECT user_id FROM wiki_user) AND contributor_id <> 0"
     " ORDER BY page_revision_id, loaded_at, run_id LIMIT 10",
     "join_10_page_bounds": _BOUNDED,
-    "join_11_longer_title": f"""WITH p AS (SELECT DISTINCT page_id, page_name FROM wiki_page WHERE namespace_id = {PROJECT_NAMESPACE})
-SELECT page_id, page_name, (SELECT min(q.page_name) FROM p q WHERE split_part(q.page_name, '/', 1) = p.page_name AND contains(q.page_name, '/')) AS "DiscussionPage" FROM p""",
+    "join_11_discussion_page": f"""SELECT p.page_id, p.page_name AS "PageName", {_discussion("p.page_name")} AS "DiscussionPage"
+  FROM (SELECT DISTINCT page_id, page_name FROM wiki_page WHERE namespace_id = 0) p""",
     "join_14_sizes": """SELECT source_file_name AS "SourceFileName",
   round(sum(CASE WHEN coalesce(result LIKE 'Success%', FALSE) THEN source_file_size * 8.0::DOUBLE / 1024 END), 3) AS "LoadedMB",
   round(sum(CASE WHEN NOT coalesce(result LIKE 'Success%', FALSE) THEN source_file_size * 8.0::DOUBLE / 1024 END), 3) AS "OtherMB" FROM load_run GROUP BY 1""",
@@ -118,9 +125,13 @@ SELECT page_id, page_name, (SELECT min(q.page_name) FROM p q WHERE split_part(q.
   strftime("MaxRevWhen", {_ISO12}) AS "LastWhen" FROM ({_BOUNDED}) b
   JOIN (SELECT DISTINCT namespace_id, page_id, page_name FROM wiki_page) p ON p.page_id = b.page_id AND p.namespace_id = {PROJECT_NAMESPACE}""",
     "comp_3_period_rows": f"""SELECT '| ' || strftime("RevLow", {_ISO}) || ' || [' || "PageName" || '] || || || ' || strftime("RevHigh", {_ISO}) AS "Row" FROM ({_NAMED_PERIODS})""",
-    "comp_4_period_discussions": f"""SELECT "RevLow", "PageName", strftime("RevHigh", {_ISO}) AS "RevHigh",
-  (SELECT min(q.page_name) FROM wiki_page q WHERE q.namespace_id = {PROJECT_NAMESPACE} AND split_part(q.page_name, '/', 1) = x."PageName"
-    AND contains(q.page_name, '/')) AS "DiscussionPage" FROM ({_NAMED_PERIODS}) x""",
+    "comp_4_period_discussions": f"""SELECT "RevLow", "PageName", strftime("RevHigh", {_ISO}) AS "RevHigh", {_discussion('x."PageName"', 0)} AS "DiscussionPage"
+  FROM ({_NAMED_PERIODS}) x""",
+    "comp_5_text_restored": "SELECT DISTINCT page_revision_id, md5(article_text) AS \"TextHash\" FROM page_revision_text ORDER BY 1 LIMIT 1",
+    "str_3_after_slash": "SELECT page_revision_id, substr(comment, strpos(comment, '/') + 1, 99) AS \"Rest\" FROM page_revision WHERE strpos(comment, '/') > 0",
+    "dt_5_day_number": "SELECT CAST(datediff('day', DATE '1970-01-01', DATE '2024-08-01') AS INTEGER) AS \"DayNumber\"",
+    "utf_16_lengths": """SELECT DISTINCT page_revision_id, length(article_text) AS "Characters",
+  length(article_text) + length(article_text) - length(regexp_replace(article_text, '[\\x{10000}-\\x{10FFFF}]', '', 'g')) AS "Units" FROM page_revision_text""",
     "comp_6_page_users": f"""SELECT u.user_id AS "UserID", u.user_name AS "UserName", x.n AS "ContributorCount" FROM (SELECT DISTINCT user_id, user_name FROM wiki_user) u
   LEFT JOIN (SELECT contributor_id, count(1) AS n FROM page_revision WHERE page_id = {PAGE} GROUP BY 1) x ON x.contributor_id = u.user_id
   ORDER BY 3 DESC NULLS LAST, 1, 2 LIMIT 100""",
@@ -144,5 +155,15 @@ SELECT page_id, page_name, (SELECT min(q.page_name) FROM p q WHERE split_part(q.
   ORDER BY length(comment) DESC, page_revision_id LIMIT 1""",
     "stat_6_pages_per_namespace": 'SELECT namespace_id AS "NamespaceID", count(DISTINCT page_id) AS "Pages" FROM page_revision GROUP BY 1',
     "set_1_counts_union": """SELECT 'Pages' AS "What", count(*) AS "Count" FROM wiki_page UNION ALL SELECT 'Revisions', count(*) FROM page_revision""",
-    "ing_1_round_trip": "SELECT doc_id, title, md5(text) AS text_hash, n_chars, 'A & B' AS user_name FROM documents",
+    "ing_1_round_trip": """SELECT doc_id, title, md5(text) AS text_hash, n_chars, 'A & B' AS user_name,
+  date_trunc('second', fetched_at) AS fetched_second FROM documents""",
+    "ing_2_edge_cases": """SELECT user_id AS page_id, CAST(CASE c WHEN 0 THEN 77 ELSE 0 END AS BIGINT) AS parent_page_revision_id,
+  CAST(CASE WHEN c = 2 THEN 0 WHEN c > 2 THEN user_id END AS BIGINT) AS contributor_id, CASE c WHEN 0 THEN '192.0.2.7' END AS ip_address,
+  CASE c WHEN 5 THEN 800 END AS comment_length, c <> 3 AS text_available, c = 2 AS is_minor,
+  CAST(CASE WHEN c IN (3, 4) THEN 0 ELSE length(user_name) END AS INTEGER) AS article_text_length, c = 3 AS text_deleted, c = 1 AS user_deleted,
+  CASE WHEN c > 1 THEN user_name END AS user_name, CASE c WHEN 3 THEN NULL WHEN 4 THEN '' ELSE user_name END AS article_text,
+  TIMESTAMP '2020-01-02 03:04:05' AS revision_when
+  FROM (SELECT user_id, min(user_name) AS user_name, user_id % 6 AS c FROM wiki_user GROUP BY 1)""",
+    "ing_3_redirects": """SELECT DISTINCT user_id AS page_id, 'T' || user_id AS page_name, CASE user_id % 6 WHEN 1 THEN 'Another page' END AS redirect_title
+  FROM wiki_user""",
 }

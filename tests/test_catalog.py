@@ -33,3 +33,11 @@ def test_entry(spark):
 def test_every_histogram_bucket_is_disjoint():
     ranges = [(lo, hi if hi is not None else 10**9) for lo, hi in catalog.BOUNDS]
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_first_title_with_prefix(spark):
+    names = spark.createDataFrame([("Abc",), ("50%_x",), ("Z",), ("",)], "PageName string")
+    titles = spark.createDataFrame([("Talk/abcd",), ("Talk/Abc",), ("talk/abc 2",), ("Talk/50%_x y",), ("Talk/50 x",), ("Abc",), ("Other/Z",)], "title string")
+    got = {r.PageName: r.DiscussionPage for r in catalog.first_with_prefix(names, titles, "Talk/").collect()}
+    assert got == {"Abc": "Talk/Abc", "50%_x": "Talk/50%_x y", "": "Talk/50 x"}
+    assert catalog.first_with_prefix(names.limit(0), titles, "").count() == 0
