@@ -1,9 +1,10 @@
 """Processing only new or changed records: a Merkle tree over key-range hashes.
 
-Keys fall into ranges of equal width, the leaves.  A leaf's digest combines the hashes of its (key, version) rows; an inner node's
-digest hashes its children's.  The current tree is compared with the one saved by the last successful run from the root downwards,
-descending only where digests differ; the rows of the changed leaves are compared one by one.  Output and new tree are published
-together by one rename, so a run that dies leaves the previous state and is simply repeated.
+Keys fall into ranges of equal width, the leaves.  A leaf's digest combines the hashes of its (key, version) rows; the digest of a node
+above combines those of the leaves below it.  The current tree is compared with the one saved by the last successful run from the
+root downwards, descending only where digests differ; only rows of the changed leaves are compared one by one, and only the parts of the
+saved rows that hold such leaves are read and rewritten.  Output, rows and tree are published together by one rename, so a run that
+dies leaves the previous state and is simply repeated.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest import commits
 from palimpsest.operators.common import require_columns
-from palimpsest.scratch import Scratch, hadoop_fs, path_exists
+from palimpsest.scratch import Scratch, delete_path, hadoop_fs
 
 TREE_SCHEMA = "level int, node long, digest long, rows long"
 
@@ -65,23 +67,12 @@ def changed_leaves(current: DataFrame, saved: DataFrame, scratch: Scratch, fanou
     return frontier.withColumnRenamed("up", "leaf")
 
 
-def changed_rows(
-    current: DataFrame, saved: DataFrame, key: str, version: list[str], leaf_width: int = 1024, saved_tree: DataFrame | None = None
-) -> DataFrame:
-    """(key, *version) of ``current`` for keys that are new or whose version differs from ``saved``.
+def _with_leaf(rows: DataFrame, key: str, leaf_width: int) -> DataFrame:
+    return rows.withColumn("leaf", F.floor(F.col(key) / F.lit(leaf_width)).cast("long"))
 
-    One row per key on either side.  Keys that only ``saved`` has are no change to load.  With no saved rows every key is returned.
-    """
-    scratch = Scratch(current.sparkSession, "changes")
-    shape = [F.col(key).cast("long").alias(key), *version]
-    now = scratch.write(current.where(F.col(key).isNotNull()).select(*shape), "current")
-    before = scratch.write(saved.where(F.col(key).isNotNull()).select(*shape), "saved")
-    new_tree = scratch.write(merkle_tree(now, key, version, leaf_width), "tree")
-    old_tree = saved_tree if saved_tree is not None else scratch.write(merkle_tree(before, key, version, leaf_width), "saved-tree")
-    leaves = changed_leaves(new_tree, old_tree, scratch)
-    leaf = F.floor(F.col(key) / F.lit(leaf_width)).cast("long")
-    now = now.withColumn("leaf", leaf).join(leaves, "leaf", "left_semi").drop("leaf")
-    before = before.withColumn("leaf", leaf).join(leaves, "leaf", "left_semi").drop("leaf")
+
+def _different(now: DataFrame, before: DataFrame, key: str, version: list[str]) -> DataFrame:
+    """(key, *version) of ``now`` for keys that ``before`` lacks or has with another version; one row per key on either side."""
     old = before.select(key, *[F.col(c).alias(f"__old_{c}") for c in version], F.lit(True).alias("__had"))
     same = F.col("__had").isNotNull()
     for c in version:
@@ -89,49 +80,78 @@ def changed_rows(
     return now.join(old, key, "left").where(~same).select(key, *version)
 
 
+def changed_rows(current: DataFrame, saved: DataFrame, key: str, version: list[str], leaf_width: int = 1024) -> DataFrame:
+    """(key, *version) of ``current`` for keys that are new or whose version differs from ``saved``.
+
+    One row per key on either side.  Keys that only ``saved`` has are no change to load.  With no saved rows every key is returned.
+    """
+    scratch = Scratch(current.sparkSession, "changes")
+    state = MerkleState(current.sparkSession, scratch.path("state"), key, version, leaf_width)
+    state.run(saved)
+    return state.run(current)
+
+
 class MerkleState:
-    """The saved rows, tree and output of the last successful run, in ``root``; published together or not at all."""
+    """The saved rows, tree and output of the last successful run, in ``root``; published together or not at all.
+
+    Rows lie in parts of ``part_width`` neighbouring leaves.  A run evaluates its input once, into a snapshot from which output, rows
+    and tree are all made: a row that arrives meanwhile is in none of them and is found by the next run.  Of two runs at a time the
+    one that publishes second fails with ``Conflict`` and is to be repeated.
+    """
 
-    def __init__(self, spark, root: str, key: str, version: list[str], leaf_width: int = 1024):
-        self.spark, self.root, self.key, self.version, self.leaf_width = spark, root.rstrip("/"), key, list(version), leaf_width
+    def __init__(self, spark, root: str, key: str, version: list[str], leaf_width: int = 1024, part_width: int = 1024):
+        self.spark, self.root, self.key, self.version = spark, root.rstrip("/"), key, list(version)
+        self.leaf_width, self.part_width = leaf_width, part_width
 
-    def _current(self) -> str | None:
-        pointer = f"{self.root}/CURRENT"
-        if not path_exists(self.spark, pointer):
+    def read(self, name: str) -> DataFrame | None:
+        """Table 'rows', 'tree' or 'output' of the published state; none before the first run."""
+        number, state = commits.latest(self.spark, self.root)
+        if not number:
             return None
-        return self.spark.read.text(pointer).first()[0]
+        return self._rows(state, None) if name == "rows" else self.spark.read.parquet(f"{self.root}/{state[name]}")
 
-    def read(self, part: str) -> DataFrame | None:
-        at = self._current()
-        return self.spark.read.parquet(f"{self.root}/{at}/{part}") if at else None
+    def _rows(self, state: dict, parts: list[int] | None) -> DataFrame:
+        paths = [f"{self.root}/{p}" for n, p in sorted(state.get("parts", {}).items()) if parts is None or int(n) in parts]
+        schema = state["schema"]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def run(self, current: DataFrame) -> DataFrame:
-        """Compare, write output, rows and tree of this run, then publish; returns the published output."""
-        saved = self.read("rows")
-        before = saved if saved is not None else current.limit(0)
-        output = changed_rows(current, before, self.key, self.version, self.leaf_width, self.read("tree"))
+        """Compare, write output, changed parts and tree of this run, then publish; returns the published output."""
+        scratch, key = Scratch(self.spark, "merkle"), self.key
+        base, state = commits.latest(self.spark, self.root)
+        shape = [F.col(key).cast("long").alias(key), *self.version]
+        now = scratch.write(current.where(F.col(key).isNotNull()).select(*shape), "snapshot")
         name = f"v-{uuid.uuid4().hex}"
         at = f"{self.root}/{name}"
-        output.write.parquet(f"{at}/output")
-        current.select(F.col(self.key).cast("long").alias(self.key), *self.version).write.parquet(f"{at}/rows")
-        tree = merkle_tree(self.spark.read.parquet(f"{at}/rows"), self.key, self.version, self.leaf_width)
-        tree.write.parquet(f"{at}/tree")
-        publish_pointer(self.spark, self.root, name)
-        return self.spark.read.parquet(f"{at}/output")
-
-
-def publish_pointer(spark, root: str, name: str) -> None:
-    """Point ``root/CURRENT`` at a version that is fully written: write aside, then one atomic overwriting rename."""
-    fs, _ = hadoop_fs(spark, root)
-    jvm = spark.sparkContext._jvm
-    aside = jvm.org.apache.hadoop.fs.Path(f"{root}/.CURRENT-{uuid.uuid4().hex}")
-    out = fs.create(aside, True)
-    out.write(bytearray(name.encode()))
-    out.close()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(aside.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(aside, jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT"), options)
+        merkle_tree(now, key, self.version, self.leaf_width).write.parquet(f"{at}/tree")
+        tree = self.spark.read.schema(TREE_SCHEMA).parquet(f"{at}/tree")
+        old_tree = self.spark.read.schema(TREE_SCHEMA).parquet(f"{self.root}/{state['tree']}") if base else self.spark.createDataFrame([], TREE_SCHEMA)
+        leaves = changed_leaves(tree, old_tree, scratch)
+        part = F.floor(F.col("leaf") / F.lit(self.part_width)).cast("long")
+        touched = leaves.select(part.alias("part")).distinct()
+        numbers = {r[0] for r in touched.collect()}  # one per part_width x leaf_width keys
+        state = state or {"parts": {}, "schema": now._jdf.schema().toDDL()}
+
+        located = _with_leaf(now, key, self.leaf_width)
+        fresh = located.join(leaves, "leaf", "left_semi").select(key, *self.version)
+        before = _with_leaf(self._rows(state, numbers), key, self.leaf_width).join(leaves, "leaf", "left_semi").select(key, *self.version)
+        _different(fresh, before, key, self.version).write.parquet(f"{at}/output")
+        rewritten = located.withColumn("part", part).join(touched, "part", "left_semi").select("part", key, *self.version)
+        rewritten.repartition("part", F.pmod(F.xxhash64(key), F.lit(4))).write.partitionBy("part").parquet(f"{at}/rows")
+        kept = {n: p for n, p in state["parts"].items() if int(n) not in numbers}
+        parts = kept | {str(n): f"{name}/rows/part={n}" for n in self._written(f"{at}/rows")}
+        commits.publish(self.spark, self.root, base, {"parts": parts, "schema": state["schema"], "tree": f"{name}/tree", "output": f"{name}/output"})
+        delete_path(self.spark, scratch.base)
+        return self.spark.read.schema(state["schema"]).parquet(f"{at}/output")
+
+    def _written(self, path: str) -> list[int]:
+        fs, jpath = hadoop_fs(self.spark, path)
+        names = (s.getPath().getName() for s in fs.listStatus(jpath))
+        return [int(n[len("part=") :]) for n in names if n.startswith("part=")]
+
+    def expire(self, keep: int = 2) -> list[str]:
+        """Remove the versions before the last ``keep`` and what only they hold."""
+        return commits.expire(self.spark, self.root, lambda s: [*s["parts"].values(), s["tree"], s["output"]], keep)
 
 
 def done_entries(entries: DataFrame, runs: DataFrame, reports: DataFrame, salts: int = 8) -> DataFrame:

@@ -11,16 +11,15 @@ the gap, bridged ones merge, and only the periods that hold affected rows are re
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from palimpsest import commits
 from palimpsest.functions.address import canonical_ip
-from palimpsest.operators.changes import publish_pointer
 from palimpsest.operators.common import micros, require_columns
-from palimpsest.scratch import Scratch, delete_path, path_exists
+from palimpsest.scratch import Scratch, delete_path
 
 SPAN = ["actor", "start", "end", "events", "first_id", "last_id"]
 SPAN_SCHEMA = "actor string, start long, end long, events long, first_id long, last_id long"
@@ -93,75 +92,70 @@ def merge_spans(spans: DataFrame, gap: int, cell: int, scratch: Scratch) -> Data
 class SessionStore:
     """Sessions of all batches so far, below ``root``, partitioned by the period of their start.
 
-    ``CURRENT`` names a manifest; a manifest lists the directory of every period.  A batch writes new directories for the periods it
-    touches and a new manifest, then renames the pointer: readers see all of a batch or nothing, and a batch that fails midway is
-    simply applied again.  Events of a batch must not have been in an earlier one (drop redeliveries first).
+    A version lists the directory of every period, with the first start and the last end in it.  A batch reads only periods whose
+    sessions its own can meet, writes new directories for those it changes, and publishes one new version: readers see all of a batch or
+    nothing, a batch that fails midway is simply applied again, and of two batches at a time the second fails with ``Conflict``.
+    Events of a batch must not have been in an earlier one (drop redeliveries first).
     """
 
-    def __init__(self, spark: SparkSession, root: str, gap_seconds: int = 3600, cell_seconds: int = 86_400, period: str = "yyyy-MM"):
-        self.spark, self.root, self.period = spark, root.rstrip("/"), period
+    def __init__(
+        self, spark: SparkSession, root: str, gap_seconds: int = 3600, cell_seconds: int = 86_400, period: str = "yyyy-MM", rows_per_file: int = 2_000_000
+    ):
+        self.spark, self.root, self.period, self.rows_per_file = spark, root.rstrip("/"), period, rows_per_file
         self.gap, self.cell = gap_seconds * 1_000_000, cell_seconds * 1_000_000
 
-    def _manifest(self) -> dict[str, str]:
-        if not path_exists(self.spark, f"{self.root}/CURRENT"):
-            return {}
-        name = self.spark.read.text(f"{self.root}/CURRENT").first()[0]
-        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.root}/{name}").collect()))
+    def _read(self, periods: list[dict]) -> DataFrame:
+        paths = sorted(f"{self.root}/{p['path']}" for p in periods)
+        return self.spark.read.schema(SPAN_SCHEMA).parquet(*paths) if paths else self.spark.createDataFrame([], SPAN_SCHEMA)
 
     def sessions(self) -> DataFrame:
         """The published sessions: actor, start and end (microseconds), events, first_id, last_id."""
-        paths = sorted(self._manifest().values())
-        if not paths:
-            return self.spark.createDataFrame([], SPAN_SCHEMA)
-        return self.spark.read.schema(SPAN_SCHEMA).parquet(*[f"{self.root}/{p}" for p in paths])
+        return self._read(list(commits.latest(self.spark, self.root)[1].values()))
 
     def _cells(self, spans: DataFrame, pad: int) -> DataFrame:
         first, last = F.floor((F.col("start") - pad) / self.cell), F.floor((F.col("end") + pad) / self.cell)
         return spans.withColumn("cell", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
 
+    def _extents(self, spans: DataFrame) -> dict[str, tuple[int, int, int]]:
+        """Per period of the start: first start, last end, and number of spans; one row per period."""
+        period = F.date_format(F.timestamp_micros("start"), self.period).alias("period")
+        found = spans.groupBy(period).agg(F.min("start"), F.max("end"), F.count(F.lit(1))).collect()
+        return {r[0]: (r[1], r[2], r[3]) for r in found}
+
     def apply(self, batch: DataFrame) -> None:
         """Merge one batch of event spans into the store and publish."""
         scratch = Scratch(self.spark, "sessions")
-        local = merge_spans(batch, self.gap, self.cell, scratch)
-        manifest = self._manifest()
-        period = F.date_format(F.timestamp_micros("start"), self.period)
-        if manifest:
-            stored = self.sessions()
-            near = self._cells(local, self.gap).select("actor", "cell").distinct()
-            key = ["actor", "start"]
-            touched = self._cells(stored, 0).join(near, ["actor", "cell"], "left_semi").select(*SPAN).distinct()
-            touched = scratch.write(touched, "touched")
-            merged = merge_spans(local.unionByName(touched), self.gap, self.cell, scratch)
-            periods = {r[0] for r in merged.select(period).union(touched.select(period)).distinct().collect()}
-            old = [p for p in periods if p in manifest]
-            if old:
-                kept = self.spark.read.schema(SPAN_SCHEMA).parquet(*[f"{self.root}/{manifest[p]}" for p in old])
-                merged = merged.unionByName(kept.join(touched.select(*key), key, "left_anti"))
-        else:
-            merged, old = local, []
-        version = uuid.uuid4().hex
-        out = merged.withColumn("period", period)
-        tasks = max(1, self.spark.sparkContext.defaultParallelism)
-        spread = out.repartition(tasks, "period", F.pmod(F.xxhash64("actor", "start"), F.lit(4)))
-        spread.write.partitionBy("period").parquet(f"{self.root}/data-{version}")
-        written = self.spark.read.parquet(f"{self.root}/data-{version}").select("period").distinct().collect() if not _empty(out) else []
-        manifest = {p: path for p, path in manifest.items() if p not in old}  # one whose sessions all moved gets no rows
-        for (p,) in written:
-            manifest[str(p)] = f"data-{version}/period={p}"
-        fs_write(self.spark, f"{self.root}/manifest-{version}.json", json.dumps(manifest))
-        publish_pointer(self.spark, self.root, f"manifest-{version}.json")
+        base, stored = commits.latest(self.spark, self.root)
+        merged = merge_spans(batch, self.gap, self.cell, scratch)
+        extents = self._extents(merged)
+        met = {
+            n: p for n, p in stored.items()
+            if any(p["first"] <= last + self.gap and first - self.gap <= p["last"] for first, last, _ in extents.values())
+        }
+        touched, affected = None, set(extents)
+        if met:
+            near = self._cells(merged, self.gap).select("actor", "cell").distinct()
+            old = self._cells(self._read(list(met.values())), 0)
+            touched = scratch.write(old.join(near, ["actor", "cell"], "left_semi").select(*SPAN).distinct(), "touched")
+            merged = merge_spans(merged.unionByName(touched), self.gap, self.cell, scratch)
+            affected = {*self._extents(merged), *self._extents(touched)}
+        changed = affected & set(stored)
+        if changed:  # the other sessions of these periods are written again beside the new ones
+            kept = self._read([stored[n] for n in changed])
+            if touched is not None:
+                kept = kept.join(touched.select("actor", "start"), ["actor", "start"], "left_anti")
+            merged = scratch.write(merged.unionByName(kept), "whole")
+            extents = self._extents(merged)
+        version = f"data-{uuid.uuid4().hex}"
+        files = {n: -(-size // self.rows_per_file) for n, (_, _, size) in extents.items()}
+        out = merged.withColumn("period", F.date_format(F.timestamp_micros("start"), self.period))
+        salt = F.pmod(F.xxhash64("actor", "start"), F.lit(max(files.values(), default=1)))
+        out.repartition(max(1, sum(files.values())), "period", salt).write.partitionBy("period").parquet(f"{self.root}/{version}")
+        content = {n: p for n, p in stored.items() if n not in changed}  # one whose sessions all moved gets no rows
+        content |= {n: {"path": f"{version}/period={n}", "first": a, "last": z} for n, (a, z, _) in extents.items()}
+        commits.publish(self.spark, self.root, base, content)
         delete_path(self.spark, scratch.base)
 
-
-def _empty(df: DataFrame) -> bool:
-    return not df.take(1)
-
-
-def fs_write(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file through Hadoop's file system."""
-    from palimpsest.scratch import hadoop_fs
-
-    fs, jpath = hadoop_fs(spark, path)
-    out = fs.create(jpath, True)
-    out.write(bytearray(text.encode()))
-    out.close()
+    def expire(self, keep: int = 2) -> list[str]:
+        """Remove the versions before the last ``keep`` and what only they hold."""
+        return commits.expire(self.spark, self.root, lambda s: [p["path"] for p in s.values()], keep)

@@ -1,20 +1,35 @@
 """A snapshot store of Parquet tables with atomic publication.
 
-Parquet knows no MERGE.  A commit writes the directories of the tables it changes under a new version, then one manifest, then renames
-the pointer: readers see the whole commit or none of it.  Appends keep the old directories and add one.
+Parquet knows no MERGE.  A commit writes the directories of the tables it changes under a new name, then publishes one numbered version
+that lists the directories of all tables: readers see the whole commit or none of it.  Appends keep the old directories and add one.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.operators.changes import publish_pointer
+from palimpsest import commits
 from palimpsest.operators.curate import missing_rows
 from palimpsest.schemas import TABLES
-from palimpsest.scratch import delete_path, hadoop_fs, path_exists
+from palimpsest.scratch import delete_path
+
+
+class Snapshot:
+    """One version of a store: what it lists does not change."""
+
+    def __init__(self, store: Store, number: int, tables: dict[str, list[str]]):
+        self.store, self.number, self.tables = store, number, tables
+
+    def read(self, table: str) -> DataFrame:
+        """The rows of a table; a table never written is empty."""
+        store = self.store
+        paths = [f"{store.root}/{p}" for p in self.tables.get(table, [])]
+        if not paths:
+            return store.spark.createDataFrame([], store.schemas[table])
+        reader = store.spark.read.schema(store.schemas[table]) if table in store.schemas else store.spark.read
+        return reader.parquet(*paths)
 
 
 class Store:
@@ -24,47 +39,65 @@ class Store:
         self.spark, self.root = spark, root.rstrip("/")
         self.schemas = dict(TABLES if schemas is None else schemas)
 
-    def _manifest(self) -> dict[str, list[str]]:
-        if not path_exists(self.spark, f"{self.root}/CURRENT"):
-            return {}
-        name = self.spark.read.text(f"{self.root}/CURRENT").first()[0]
-        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.root}/{name}").collect()))
+    def snapshot(self) -> Snapshot:
+        return Snapshot(self, *commits.latest(self.spark, self.root))
 
     def exists(self) -> bool:
         """Whether anything was published: the smoke test before a load."""
-        return path_exists(self.spark, f"{self.root}/CURRENT")
+        return bool(commits.versions(self.spark, self.root))
 
     def read(self, table: str) -> DataFrame:
         """The published rows of a table; a table never written is empty."""
-        paths = [f"{self.root}/{p}" for p in self._manifest().get(table, [])]
-        if not paths:
-            return self.spark.createDataFrame([], self.schemas[table])
-        reader = self.spark.read.schema(self.schemas[table]) if table in self.schemas else self.spark.read
-        return reader.parquet(*paths)
-
-    def commit(self, *, replace: dict[str, DataFrame] | None = None, append: dict[str, DataFrame] | None = None) -> None:
-        """Write whole new contents (``replace``) and additional rows (``append``) of tables and publish them together."""
-        manifest = {t: list(p) for t, p in self._manifest().items()}
-        version = uuid.uuid4().hex
+        return self.snapshot().read(table)
+
+    def commit(
+        self, *, replace: dict[str, DataFrame] | None = None, append: dict[str, DataFrame] | None = None, base: Snapshot | None = None,
+        reads: list[str] | None = None,
+    ) -> None:
+        """Write whole new contents (``replace``) and additional rows (``append``) of tables and publish them together.
+
+        ``base`` is the snapshot that the rows were made from, ``reads`` the tables they depend on (those replaced always count).  Where
+        another writer has published meanwhile, the commit is put on top of that version if it left these tables alone, else it fails
+        with ``Conflict`` and the caller starts again.
+        """
+        base = base or self.snapshot()
+        depends = {*(reads or []), *(replace or {})}
+        name = uuid.uuid4().hex
+        written: dict[str, str] = {}
         for table, df in (replace or {}).items():
-            df.write.parquet(f"{self.root}/{version}/{table}")
-            manifest[table] = [f"{version}/{table}"]
+            written[table] = f"{name}/{table}"
+            df.write.parquet(f"{self.root}/{written[table]}")
+        added: dict[str, str] = {}
         for table, df in (append or {}).items():
-            df.write.parquet(f"{self.root}/{version}/{table}-new")
-            manifest.setdefault(table, []).append(f"{version}/{table}-new")
-        fs, path = hadoop_fs(self.spark, f"{self.root}/manifest-{version}.json")
-        out = fs.create(path, True)
-        out.write(bytearray(json.dumps(manifest).encode()))
-        out.close()
-        publish_pointer(self.spark, self.root, f"manifest-{version}.json")
+            added[table] = f"{name}/{table}-new"
+            df.write.parquet(f"{self.root}/{added[table]}")
+        now = base
+        while True:
+            tables = {t: list(p) for t, p in now.tables.items()}
+            tables |= {t: [p] for t, p in written.items()}
+            for table, path in added.items():
+                tables[table] = [*tables.get(table, []), path]
+            try:
+                commits.publish(self.spark, self.root, now.number, tables)
+                return
+            except commits.Conflict:
+                now = self.snapshot()
+                if any(now.tables.get(t) != base.tables.get(t) for t in depends):
+                    raise
+
+    def expire(self, keep: int = 2) -> list[str]:
+        """Remove the versions before the last ``keep`` and the directories only they name."""
+        return commits.expire(self.spark, self.root, lambda tables: [p for paths in tables.values() for p in paths], keep)
 
     def append_missing(self, table: str, rows: DataFrame, keys: list[str]) -> None:
         """Insert-only merge on ``keys``; rows that are there stay as they are."""
-        self.commit(append={table: missing_rows(rows, self.read(table), keys)})
+        base = self.snapshot()
+        self.commit(append={table: missing_rows(rows, base.read(table), keys)}, base=base, reads=[table])
 
     def truncate(self, table: str) -> None:
         """Make a table empty."""
-        self.commit(replace={table: self.read(table).limit(0)})
+        base = self.snapshot()
+        self.commit(replace={table: base.read(table).limit(0)}, base=base)
 
     def drop(self) -> None:
         """Remove the store with all its versions."""
@@ -72,11 +105,12 @@ class Store:
 
     def compact(self, table: str, files: int) -> None:
         """Rewrite a table in ``files`` files, in place of the small ones that appends leave."""
-        self.commit(replace={table: self.read(table).repartition(files)})
+        base = self.snapshot()
+        self.commit(replace={table: base.read(table).repartition(files)}, base=base)
 
     def file_report(self, table: str) -> DataFrame:
         """(path, bytes) of a table's files: the sizes that tell when to compact."""
-        paths = [f"{self.root}/{p}" for p in self._manifest().get(table, [])]
+        paths = [f"{self.root}/{p}" for p in self.snapshot().tables.get(table, [])]
         if not paths:
             return self.spark.createDataFrame([], "path string, bytes long")
         files = self.spark.read.format("binaryFile").load(paths).selectExpr("path", "length AS bytes")

@@ -231,19 +231,71 @@ def test_merkle_state_survives_a_failed_run(spark, tmp_path, monkeypatch):
     state = MerkleState(spark, str(tmp_path / "m"), "k", ["v"], 8)
     frame = lambda m: spark.createDataFrame([*m.items()], "k long, v long")
     assert {tuple(x) for x in state.run(frame({1: 1, 2: 1})).collect()} == {(1, 1), (2, 1)}
-    import palimpsest.operators.changes as changes
+    from palimpsest import commits
 
     def die(*_):
         raise RuntimeError("lost")
 
     with monkeypatch.context() as m:
-        m.setattr(changes, "publish_pointer", die)
+        m.setattr(commits, "publish", die)
         with pytest.raises(RuntimeError):
             state.run(frame({1: 1, 2: 2, 3: 1}))
     assert {tuple(x) for x in state.run(frame({1: 1, 2: 2, 3: 1})).collect()} == {(2, 2), (3, 1)}
     assert state.run(frame({1: 1, 2: 2, 3: 1})).count() == 0
 
 
+def test_a_row_that_arrives_during_a_run_is_output_by_the_next(spark, tmp_path, monkeypatch):
+    source, frame = str(tmp_path / "source"), lambda *ks: spark.createDataFrame([(k, 1) for k in ks], "k long, v long")
+    frame(1, 2).write.parquet(source)
+    state = MerkleState(spark, str(tmp_path / "m"), "k", ["v"], 8)
+    import palimpsest.operators.changes as changes
+
+    plain = changes.merkle_tree
+
+    def and_a_row_arrives(*a, **kw):
+        frame(3).write.mode("append").parquet(source)
+        return plain(*a, **kw)
+
+    with monkeypatch.context() as m:
+        m.setattr(changes, "merkle_tree", and_a_row_arrives)
+        first = {x.k for x in state.run(spark.read.parquet(source)).collect()}
+    second = {x.k for x in state.run(spark.read.parquet(source).distinct()).collect()}
+    assert first == {1, 2} and second == {3}
+    assert {x.k for x in state.read("rows").collect()} == {1, 2, 3}
+
+
+def test_two_writers_lose_no_commit(spark, tmp_path):
+    from palimpsest import commits
+
+    root = str(tmp_path / "m")
+    one, two = (MerkleState(spark, root, "k", ["v"], 8) for _ in range(2))
+    frame = lambda *ks: spark.createDataFrame([(k, 1) for k in ks], "k long, v long")
+    one.run(frame(1))
+    base, state = commits.latest(spark, root)
+    two.run(frame(1, 2))
+    with pytest.raises(commits.Conflict):
+        commits.publish(spark, root, base, state)
+    assert {x.k for x in one.run(frame(1, 2, 3)).collect()} == {3}
+
+
+def test_only_changed_parts_are_rewritten_and_old_versions_go(spark, tmp_path):
+    from palimpsest import commits
+
+    root = str(tmp_path / "m")
+    state = MerkleState(spark, root, "k", ["v"], leaf_width=4, part_width=2)
+    frame = lambda m: spark.createDataFrame([*m.items()], "k long, v long")
+    rows = {k: 1 for k in range(-16, 40)}
+    state.run(frame(rows))
+    before = commits.latest(spark, root)[1]["parts"]
+    rows[5] = 2
+    del rows[39]
+    assert {tuple(x) for x in state.run(frame(rows)).collect()} == {(5, 2)}
+    after = commits.latest(spark, root)[1]["parts"]
+    assert {n for n in after if after[n] != before[n]} == {"0", "4"}
+    assert {x.k: x.v for x in state.read("rows").collect()} == rows
+    assert state.expire(1) and {x.k: x.v for x in state.read("rows").collect()} == rows
+
+
 def test_pages_to_load_cases(spark):
     entries = [("f", at(0), 0, 1, 10), ("f", at(0), 50, 2, 20), ("f", at(0), 90, 3, 30), ("g", at(0), 0, 1, 15), ("h", at(0), 0, 4, 1), ("h", at(0), 0, 4, 1)]
     runs = [(1, "f", at(0), None), (2, "g", at(0), "Success"), (3, "h", at(1), "Success"), (4, "h", at(0), "success")]
@@ -290,14 +342,14 @@ def test_sessions_in_any_batches(spark, tmp_path, seed):
 
 
 def test_failed_batch_changes_nothing(spark, tmp_path, monkeypatch):
-    import palimpsest.operators.sessions as sessions
+    from palimpsest import commits
 
     store = SessionStore(spark, str(tmp_path / "s"))
     assert store.sessions().count() == 0
     spans = lambda *ms: spark.createDataFrame([("a", m * 60_000_000, m * 60_000_000, 1, m, m) for m in ms], SPAN_SCHEMA)
     store.apply(spans(0, 200))
     with monkeypatch.context() as m:
-        m.setattr(sessions, "publish_pointer", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        m.setattr(commits, "publish", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
             store.apply(spans(50, 100, 150))
     assert {(s.start, s.events) for s in store.sessions().collect()} == {(0, 1), (12_000_000_000, 1)}
@@ -305,6 +357,18 @@ def test_failed_batch_changes_nothing(spark, tmp_path, monkeypatch):
     assert [(s.start, s.end, s.events, s.first_id, s.last_id) for s in store.sessions().collect()] == [(0, 12_000_000_000, 5, 0, 200)]
 
 
+def test_a_batch_reads_only_periods_it_can_meet(spark, tmp_path, monkeypatch):
+    store = SessionStore(spark, str(tmp_path / "s"))
+    month = 31 * 86_400_000_000
+    spans = lambda *ms: spark.createDataFrame([("a", t := m * month + d * 86_400_000_000, t, 1, m, m) for m in ms for d in (3, 9)], SPAN_SCHEMA)
+    read = []
+    monkeypatch.setattr(store, "_read", lambda ps, plain=store._read: (read.append(len(ps)), plain(ps))[1])
+    for m in range(4):
+        store.apply(spans(m))
+    assert max(read, default=0) <= 1
+    assert store.sessions().count() == 8
+
+
 def test_period_whose_sessions_all_move_is_left(spark, tmp_path):
     store = SessionStore(spark, str(tmp_path / "s"))
     first = int(dt.datetime(2020, 2, 1, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
