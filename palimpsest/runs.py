@@ -96,7 +96,7 @@ class RunLog:
         same = same & (F.col("source_file_timestamp") == F.lit(file_time).cast("timestamp"))
         runs = self.store.read("run").where(same & (F.col("run_id") != run_id))
         if runs.where(F.col("result").startswith(SUCCESS)).take(1):
-            raise AlreadyLoaded(file_name)
+            raise AlreadyLoaded(os.path.basename(file_name))
         return runs.join(self.store.read("run_progress"), "run_id").agg(F.max("file_position")).first()[0] or 0
 
     @contextmanager

@@ -7,10 +7,14 @@ against a declared schema.  A pre-pass marks self-closing elements, because pars
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.schemas import DUMP_NAMESPACE, DUMP_PAGE
+from palimpsest.scratch import hadoop_fs
 
 _OPTIONS = {"mode": "FAILFAST", "ignoreSurroundingSpaces": "false", "timeZone": "UTC"}
 _SELF_CLOSING = r"<(text|comment|contributor)((?:\s[^<>]*?)?)\s*/>"
@@ -39,15 +43,98 @@ def read_dump(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return pages_of(spark.read.option("lineSep", "</page>").text(path))
 
 
+def read_range(spark: SparkSession, path: str, low: int, high: int, split_bytes: int = 64 << 20) -> DataFrame:
+    """The pages of one plain file whose entries begin in bytes ``low`` to ``high`` (exclusive): a page is in one range of any cut.
+
+    Each task reads one split of the range and the rest of the entry at its end, as the text source does for a whole file.
+    """
+    jobs = [(path, a, min(a + split_bytes, high)) for a in range(low, high, split_bytes)]
+    splits = spark.createDataFrame(jobs, "path string, low long, high long").repartition(max(1, len(jobs)))
+    return pages_of(splits.mapInArrow(_entries, "value string"))
+
+
+def _entries(batches):
+    """Pieces from ``<page`` to before ``</page>`` whose entry begins in the split."""
+    import pyarrow as pa
+    from pyarrow import fs
+
+    for b in batches:
+        for path, low, high in zip(*(b.column(c).to_pylist() for c in ("path", "low", "high"))):
+            files, inner = fs.FileSystem.from_uri(path)
+            with files.open_input_file(inner) as f:
+                f.seek(low)
+                held, at, mark = b"", low, re.compile(rb"<page[\s>]")
+                done = False
+                while not done:
+                    data = f.read(1 << 20)
+                    held += data
+                    out = []
+                    while True:
+                        start = mark.search(held)
+                        if start is None:
+                            keep = max(0, len(held) - 5)
+                            at, held = at + keep, held[keep:]
+                            done = at >= high
+                            break
+                        if at + start.start() >= high:
+                            done = True
+                            break
+                        end = held.find(b"</page>", start.start())
+                        if end < 0:
+                            at, held = at + start.start(), held[start.start() :]
+                            break
+                        out.append(held[start.start() : end].decode())
+                        at, held = at + end + 7, held[end + 7 :]
+                    if out:
+                        yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.string())})
+                    if not data:
+                        break
+
+
 def stream_dump(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
     """The same as a stream over a directory of dump files."""
     reader = spark.readStream.option("lineSep", "</page>").option("maxFilesPerTrigger", files_per_trigger)
     return pages_of(reader.text(path))
 
 
-def read_namespaces(spark: SparkSession, path: str) -> DataFrame:
-    """(namespace_id, namespace_name) of the file's head; an unnamed namespace has an empty name."""
-    head = spark.read.option("lineSep", "</namespaces>").text(path).where(F.col("value").contains("<namespaces"))
+#: A file's head, which names the namespaces, is far shorter than this.
+HEAD_BYTES = 4 << 20
+
+
+def file_heads(spark: SparkSession, path: str | list[str], size: int = HEAD_BYTES) -> list[str]:
+    """The first ``size`` bytes of every file of ``path`` as text, read on the driver; .gz and .bz2 files are unpacked."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    heads = []
+    for name in file_status(spark, path):
+        jpath = jvm.org.apache.hadoop.fs.Path(name)
+        stream = jpath.getFileSystem(conf).open(jpath)
+        codec = codecs.getCodec(jpath)
+        data = codec.createInputStream(stream) if codec is not None else stream
+        try:
+            heads.append(bytes(data.readNBytes(size)).decode(errors="replace"))
+        finally:
+            data.close()
+    return heads
+
+
+def file_status(spark: SparkSession, path: str | list[str]) -> dict[str, tuple[int, dt.datetime]]:
+    """{full path: (bytes, time of change)} of the files that a path, folder or glob names, on any file system Hadoop knows."""
+    found: dict[str, tuple[int, dt.datetime]] = {}
+    for one in [path] if isinstance(path, str) else path:
+        fs, jpath = hadoop_fs(spark, one)
+        for status in fs.globStatus(jpath) or []:
+            for f in fs.listStatus(status.getPath()) if status.isDirectory() else [status]:
+                if not f.isDirectory() and f.getPath().getName()[0] not in "._":
+                    when = dt.datetime.fromtimestamp(f.getModificationTime() // 1000, dt.timezone.utc).replace(tzinfo=None)
+                    found[f.getPath().toString()] = (f.getLen(), when)
+    return dict(sorted(found.items()))
+
+
+def read_namespaces(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(namespace_id, namespace_name) of the files' heads; an unnamed namespace has an empty name.  Only the heads are read."""
+    heads = [(h.partition("</namespaces>")[0],) for h in file_heads(spark, path)]
+    head = spark.createDataFrame(heads, "value string").where(F.col("value").contains("<namespaces"))
     elements = F.regexp_extract_all(F.col("value"), F.lit(r"(<namespace [^<>]*?(?:/>|>[^<]*</namespace>))"), 1)
     one = F.from_xml(F.col("element"), DUMP_NAMESPACE, _OPTIONS)
     parsed = head.select(F.explode(elements).alias("element")).select(one.alias("n"))

@@ -10,7 +10,7 @@ from palimpsest.ingest import ingest, merge_pages
 from palimpsest.operators.curate import ordinal_in_group, retained, thin_nested, thin_texts
 from palimpsest.operators.derive import contributor_counts, ingest_statistics, pages_per_namespace, pages_table, revisions_table
 from palimpsest.runs import AlreadyLoaded, RunLog
-from palimpsest.sources.dump import pages_after, read_dump, read_namespaces
+from palimpsest.sources.dump import file_heads, file_status, pages_after, read_dump, read_namespaces, read_range
 from palimpsest.sources.store import Store
 
 HEAD = """<mediawiki><siteinfo><namespaces>
@@ -178,10 +178,64 @@ def test_run_log(spark, tmp_path):
     log = RunLog(Store(spark, root))
     results = [r.result for r in log.runs().collect()]
     assert results == ["d.xml", "d.xml", "Success"]
-    assert {r.activity for r in log.store.read("activity").collect()} == {"Insert Namespaces", "Merge PageRevisions"}
+    steps = {"Read Page", "Insert Page", "Check existing PageRevisions", "Merge Users", "Merge Text", "Insert Namespaces", "Merge PageRevisions"}
+    assert {r.activity for r in log.store.read("activity").collect()} == steps
     assert log.store.read("namespace").count() == 3
 
 
+def test_files_of_one_name_in_two_folders_both_load(spark, tmp_path):
+    root = str(tmp_path / "s")
+    for n in (1, 2):
+        (tmp_path / f"f{n}").mkdir()
+        path = dump(tmp_path / f"f{n}", page(n, rev(n)))
+        assert ingest(spark, f"file:{path}", root).pages == 1
+    assert Store(spark, root).read("page").count() == 2
+    with pytest.raises(FileNotFoundError):
+        ingest(spark, str(tmp_path / "none.xml"), root)
+
+
+def test_ranges_share_no_page_and_miss_none(spark, tmp_path):
+    path = dump(tmp_path, *[page(i, rev(i, body=f"<text>{'w ' * (i % 9)}{i} é</text>"), title=f"T{i}") for i in range(1, 41)])
+    size = len(open(path, "rb").read())
+    for step, split in ((size, 97), (100, 64 << 20), (size // 3 + 1, 211)):
+        got = []
+        for low in range(0, size, step):
+            if step < 101 and low > 900:  # a few of the smallest ranges
+                break
+            got += [r.id for r in read_range(spark, "file:" + path, low, min(low + step, size), split).select("id").collect()]
+        assert len(got) == len(set(got)) and (step < 101 or sorted(got) == list(range(1, 41)))
+
+
+def test_killed_load_resumes_at_the_reported_position(spark, tmp_path, monkeypatch):
+    import palimpsest.ingest as module
+
+    path, root, seen = dump(tmp_path, *[page(i, rev(i)) for i in range(1, 13)]), str(tmp_path / "s"), []
+    size = len(open(path, "rb").read())
+    plain, ranges = module.merge_pages, []
+
+    def die_at_third(*a, **kw):
+        if len(seen) == 2:
+            raise RuntimeError("lost")
+        return plain(*a, **kw)
+
+    with monkeypatch.context() as m:
+        m.setattr(module, "merge_pages", die_at_third)
+        with pytest.raises(RuntimeError):
+            ingest(spark, path, root, chunk_bytes=size // 3, progress=seen.append)
+    assert len(seen) == 2 and seen == sorted(seen) and 0 < seen[0] < seen[1] < 100
+    monkeypatch.setattr(module, "read_range", lambda s, p, low, high, plain=module.read_range: (ranges.append(low), plain(s, p, low, high))[1])
+    loaded = ingest(spark, path, root, chunk_bytes=size // 3, progress=seen.append)
+    assert min(ranges) >= 2 * (size // 3) and seen[-1] == 100.0
+    assert sorted(r.page_id for r in Store(spark, root).read("page").collect()) == list(range(1, 13))
+    assert loaded.report.where("revisions_added = 1").count() == loaded.pages and loaded.idle_pages == 0
+
+
+def test_only_the_head_is_read_for_namespaces(spark, tmp_path):
+    path = dump(tmp_path, *[page(i, rev(i)) for i in range(1, 4)])
+    assert [len(h) for h in file_heads(spark, path, 40)] == [40]
+    assert list(file_status(spark, str(tmp_path / "*.xml"))) == ["file:" + path]
+
+
 def test_resume_position(spark, tmp_path):
     log = RunLog(Store(spark, str(tmp_path / "s")))
     when = dt.datetime(2020, 1, 1)
@@ -251,3 +305,13 @@ def test_streamed_directory(spark, tmp_path):
     load_directory(spark, str(inbox), root, mark).awaitTermination()
     store = Store(spark, root)
     assert sorted(r.page_revision_id for r in store.read("page_revision").collect()) == [1, 2, 3]
+    assert store.read("namespace").count() == 3 and {r.result for r in store.read("run").collect()} == {"Success"}
+
+
+def test_session_windows_keep_a_step_of_the_gap(spark):
+    from palimpsest.streaming.dumps import stream_sessions
+
+    t0 = dt.datetime(2020, 1, 1)
+    rows = [("a", t0), ("a", t0 + dt.timedelta(minutes=60)), ("a", t0 + dt.timedelta(minutes=121))]
+    got = stream_sessions(spark.createDataFrame(rows, "who string, t timestamp"), actor="who", when="t").orderBy("start").collect()
+    assert [(r.events, (r.end - r.start).total_seconds()) for r in got] == [(2, 3600), (1, 0)]
