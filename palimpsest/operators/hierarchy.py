@@ -3,7 +3,8 @@
 The method is frontier joins, level by level, from the roots.  Joining once per generation would take as many jobs as the deepest
 history, so a level here is one *segment* of a chain: rows are range-partitioned by locality (for revisions: page, then id), every
 partition follows links as far as it can by vectorised pointer doubling, and only links that leave a partition remain.  Those form
-a contracted graph whose frontier joins extend paths and depths from roots downwards.  Range partitioning splits a hot page into
+a contracted graph whose frontier joins extend paths and depths from roots downwards; the links of segments not yet reached double
+meanwhile, so a chain of n segments takes about log2(n) rounds.  Range partitioning splits a hot page into
 as many partitions as it needs.  Segments that no frontier reaches lie on or lead to a cycle across partitions; pointer doubling
 over them alone finds its smallest member.  Cycles inside a partition show as nodes that return to themselves.
 """
@@ -152,44 +153,19 @@ def hierarchy(
     # Many segments may leave to one parent: look every parent up once, then spread the segments over its copies.
     met = scratch.write(target.join(crossing.select("exit").distinct(), "exit"), "exits")
     links = scratch.write(salted_lookup(crossing, met, "exit"), "links")
-    empty = F.array().cast("array<long>")
     known = F.col("low").isNull() | F.col("cycle_id").isNotNull() | F.col("via_leaves").isNull()
     first = links.where(known).select(
         "seg",
         F.when(F.col("low").isNull(), F.col("seg")).otherwise(F.when(F.col("cycle_id").isNull(), F.col("via"))).alias("root"),
         F.when(F.col("low").isNull(), F.lit(0)).otherwise(F.col("via_hops") + 1).cast("long").alias("above"),
         "cycle_id",
-        *([F.coalesce(F.col("path"), empty).alias("prefix")] if with_paths else []),
     )
-    waiting = links.where(~known).drop("cycle_id")
-    frontier = scratch.write(first, "frontier")
-    reached = [frontier]
-    left, seen = waiting.count(), 0
-    while left > seen:
-        f = frontier.select(F.col("seg").alias("via"), "root", "above", "cycle_id", *(["prefix"] if with_paths else []))
-        grown = salted_lookup(waiting, f, "via", "inner").select(
-            "seg",
-            "root",
-            F.when(F.col("cycle_id").isNull(), F.col("above") + F.col("via_hops") + 1).alias("above"),
-            "cycle_id",
-            *([F.concat("prefix", "path").alias("prefix")] if with_paths else []),
-        )
-        frontier = scratch.write(grown, "frontier")
-        got = frontier.count()
-        if not got:
-            break
-        seen += got
-        reached.append(frontier)
-    resolved = reached[0]
-    for r in reached[1:]:
-        resolved = resolved.unionByName(r)
-    if left > seen:
-        loops = waiting.select("seg", "via", "low").join(resolved.select("seg"), "seg", "left_anti")
-        loops = _cycle_ids(scratch, scratch.write(loops, "unreached"), left - seen)
-        null = F.lit(None).cast("long")
-        resolved = resolved.unionByName(
-            loops.select("seg", null.alias("root"), null.alias("above"), "cycle_id", *([F.lit(None).cast("array<long>").alias("prefix")] if with_paths else []))
-        )
+    waiting = links.where(~known).select("seg", "via", (F.col("via_hops") + 1).alias("above"), "low")
+    resolved = _frontiers(scratch, scratch.write(first, "frontier"), scratch.write(waiting, "waiting"))
+    if with_paths:
+        chained = first.select("seg", "cycle_id", F.when(F.col("above") > 0, F.array("seg")).otherwise(F.array().cast("array<long>")).alias("chain"))
+        pieces = links.select(F.col("seg").alias("link"), "path")
+        resolved = _with_prefixes(scratch, resolved, chained, waiting.select("seg", "via"), pieces)
     resolved = scratch.write(resolved, "resolved")
 
     own = segments.where(F.col("leaves_to").isNull()).select(
@@ -207,6 +183,70 @@ def hierarchy(
     return own.unionByName(deep)
 
 
+def _frontiers(scratch: Scratch, done: DataFrame, waiting: DataFrame) -> DataFrame:
+    """(seg, root, above, cycle_id) of all segments.  ``done`` are known, ``waiting`` (seg, via, above, low) hang below others.
+
+    Every round joins the waiting ones to what they hang below: below the frontier they become known, below a waiting segment they take
+    over its link.  So the reach of a round doubles and a chain of n segments takes about log2(n) rounds.  What no frontier has
+    reached by then lies on or leads to a cycle of segments.
+    """
+    state = waiting.select("seg", F.col("via").alias("far"), "above", "low")
+    left, reached, frontier = state.count(), [done], done
+    doubled = 0
+    while left and doubled <= left.bit_length() + 1:
+        known = frontier if doubled == 0 else scratch.write(_union(reached), "known")
+        ahead = known.select(F.col("seg").alias("far"), "root", F.col("above").alias("up"), "cycle_id", F.lit(None).cast("long").alias("further"), F.lit(True).alias("known"))
+        hanging = state.select(F.col("seg").alias("far"), F.lit(None).cast("long").alias("root"), F.col("above").alias("up"), F.lit(None).cast("long").alias("cycle_id"), F.col("far").alias("further"), F.lit(False).alias("known"))
+        grown = scratch.write(salted_lookup(state, ahead.unionByName(hanging), "far", "inner"), "grown")
+        above = F.when(F.col("cycle_id").isNull(), F.col("above") + F.col("up"))
+        frontier = grown.where("known").select("seg", "root", above.alias("above"), "cycle_id")
+        reached.append(frontier)
+        state = grown.where("NOT known").select("seg", F.col("further").alias("far"), (F.col("above") + F.col("up")).alias("above"), "low")
+        left_now = state.count()
+        doubled += 1
+        if left_now == 0:
+            left = 0
+            break
+    if left:
+        loops = waiting.select("seg", "via", "low").join(state.select("seg"), "seg", "left_semi")
+        loops = _cycle_ids(scratch, scratch.write(loops, "unreached"), state.count())
+        null = F.lit(None).cast("long")
+        reached.append(loops.select("seg", null.alias("root"), null.alias("above"), "cycle_id"))
+    return _union(reached)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _with_prefixes(scratch: Scratch, resolved: DataFrame, chained: DataFrame, links: DataFrame, pieces: DataFrame) -> DataFrame:
+    """``resolved`` with ``prefix``, the path down to where a segment's top hangs; null for segments that lead to a cycle.
+
+    Only ids of segments are doubled along the links (``chain``), a short list even for long paths; the pieces of path are put together
+    once at the end.
+    """
+    sound = scratch.write(resolved.where(F.col("cycle_id").isNull()), "sound")
+    state = scratch.write(links.join(sound.select("seg"), "seg", "left_semi").select("seg", F.col("via").alias("far"), F.array("seg").alias("chain")), "chains")
+    done = [chained.where(F.col("cycle_id").isNull()).select("seg", "chain")]
+    while state.take(1):
+        known = scratch.write(_union(done), "known-chains")
+        ahead = known.select(F.col("seg").alias("far"), F.col("chain").alias("up"), F.lit(None).cast("long").alias("further"), F.lit(True).alias("known"))
+        hanging = state.select(F.col("seg").alias("far"), F.col("chain").alias("up"), F.col("far").alias("further"), F.lit(False).alias("known"))
+        grown = scratch.write(salted_lookup(state, ahead.unionByName(hanging), "far", "inner"), "grown-chains")
+        longer = F.concat("up", "chain").alias("chain")
+        done.append(grown.where("known").select("seg", longer))
+        state = grown.where("NOT known").select("seg", F.col("further").alias("far"), longer)
+    steps = _union(done).select("seg", F.posexplode("chain").alias("at", "link"))
+    joined = salted_lookup(scratch.write(steps, "steps"), scratch.write(pieces, "pieces"), "link", "inner")
+    whole = joined.groupBy("seg").agg(F.sort_array(F.collect_list(F.struct("at", "path"))).alias("p"))  # a group is one path
+    prefixes = whole.select("seg", F.flatten(F.col("p.path")).alias("prefix"))
+    empty = F.when(F.col("cycle_id").isNull(), F.coalesce("prefix", F.array().cast("array<long>")))
+    return resolved.join(prefixes, "seg", "left").withColumn("prefix", empty)
+
+
 def _cycle_ids(scratch: Scratch, loops: DataFrame, count: int) -> DataFrame:
     """Smallest id on the cycle that each unreached segment leads to; every chain among them ends in a cycle."""
     state = loops.select("seg", F.col("via").alias("far"), "low")

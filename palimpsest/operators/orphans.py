@@ -4,7 +4,8 @@ A Bloom filter over the parent keys is sent to every task; a reference it reject
 join.  The filter's size is a parameter, so what is broadcast does not grow with the data: beyond it the false-positive rate rises
 and the exact join verifies more, the result stays the same.  Positive references are compressed to one row per key before the
 join, so a key that a third of all rows name costs one row.  Only keys with at least one bad reference are joined back to the
-rows; of these the heavy ones (bounded in number by ``1 / heavy_share``) by broadcast, the others by a shuffle free of hot keys.
+rows; of these the heavy ones (bounded in number by ``1 / heavy_share``) by broadcast.  From the rows for the others heavy keys, bad or
+sound, are taken out and a second filter, over the light bad keys, takes out most that are sound: what is shuffled has no hot key.
 """
 
 from __future__ import annotations
@@ -103,27 +104,39 @@ def orphan_references(
             F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"), F.max("__at").alias("__last")
         )
         joined = by_key.join(parents.withColumn("__there", F.lit(True)), "__key", "left")
-        bad = joined.where(
-            F.col("__there").isNull() | (F.col("__loaded") > F.col("__first")) | (F.col("__deleted") <= F.col("__last"))
-        ).select("__key", "__n", "__loaded", "__deleted", F.col("__there").isNull().alias("__missing"))
-        bad = scratch.write(bad, f"bad-{ref.column}")
         heavy_at = max(1, int(total * heavy_share))
-        heavy = positive.join(F.broadcast(bad.where(F.col("__n") >= heavy_at)), "__key")
-        light = positive.join(bad.where(F.col("__n") < heavy_at), "__key")
-        statuses = F.array_compact(
-            F.array(
-                F.when(F.col("__missing"), F.lit(MISSING)),
-                F.when(F.col("__loaded") > F.col("__at"), F.lit(LATE)),
-                F.when(F.col("__deleted") <= F.col("__at"), F.lit(DELETED)),
-            )
-        )
-        found.append(heavy.unionByName(light).select(*shape, F.explode(statuses).alias("ref_status")))
+        wrong = F.col("__there").isNull() | (F.col("__loaded") > F.col("__first")) | (F.col("__deleted") <= F.col("__last"))
+        flagged = joined.select(
+            "__key", (F.col("__n") >= heavy_at).alias("__heavy"), "__loaded", "__deleted", F.col("__there").isNull().alias("__missing"),
+            F.coalesce(wrong, F.lit(False)).alias("__bad"),
+        )
+        keys = scratch.write(flagged.where("__bad OR __heavy"), f"keys-{ref.column}")
+        bad = keys.where("__bad").drop("__bad")
+        found.append(_labelled(positive.join(F.broadcast(bad.where("__heavy")), "__key"), shape))
+        few, _ = bloom_filter(bad.where("NOT __heavy"), "__key", bloom_max_bits)
+        if few is None:
+            continue
+        rest = positive.join(F.broadcast(keys.where("__heavy").select("__key")), "__key", "left_anti")
+        light = rest.where(might_contain(few, F.col("__key"))).join(bad.where("NOT __heavy"), "__key")
+        found.append(_labelled(light, shape))
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)
     return out
 
 
+def _labelled(rows: DataFrame, shape: list) -> DataFrame:
+    """``shape`` and every status of references joined to their bad keys."""
+    statuses = F.array_compact(
+        F.array(
+            F.when(F.col("__missing"), F.lit(MISSING)),
+            F.when(F.col("__loaded") > F.col("__at"), F.lit(LATE)),
+            F.when(F.col("__deleted") <= F.col("__at"), F.lit(DELETED)),
+        )
+    )
+    return rows.select(*shape, F.explode(statuses).alias("ref_status"))
+
+
 def orphan_report(orphans: DataFrame, when: str) -> DataFrame:
     """Number of bad references per field, status and month of ``when`` (a null time gives a null month)."""
     month = F.date_format(F.col(when).cast("timestamp"), "yyyy-MM")
