@@ -3,8 +3,9 @@
 A text in HTML, Markdown, wiki or LaTeX markup, whole, broken or escaped, becomes a sequence of *nodes*: a piece of text with its
 root-to-leaf tag path (``body/ul/li``, ``wiki/list``, ``latex/section``).  Per tag path the text length and the punctuation are
 aggregated; the two ratios (per node of the path) are smoothed over the sequence of nodes, fused by their product and thresholded, so
-paths of navigation and other boilerplate fall out while headings, lists, tables, code and formulas stay by their kind.  A text
-holds markup if any markup token occurs in it once ordinary uses of the same characters are set aside.
+paths of menus and other boilerplate fall out wherever they are, while headings, lists, tables, code and formulas stay by their kind.  A text
+holds markup if the text of its content nodes differs from it in more than white space; ordinary uses of the same characters are set
+aside before it is parsed.
 
 Clean text is plain: ``§`` before a heading (one per level), ``•`` before a list item (two blanks per level), tabs between table
 cells, four blanks before a line of code, and ``⟦ ⟧`` around a formula.
@@ -51,6 +52,9 @@ _ORDINARY = re.compile(
     r"|(?<=\d)''(?!')"  # inches, seconds of arc
     r"|\b[A-Za-z]:(?:\\[\w.$ -]+)+"  # drive paths
     r"|(?<![\\\w])\\\\[\w.$-]+(?:\\[\w.$-]+)+"  # shares
+    r"|\([^()\n|]*\|\|[^()\n|]*\)"  # a condition of a program
+    r"|\[\d{1,3}\](?:\[\d{1,3}\])+(?!\()"  # numbers of references
+    r"|(?<!\w)__(?:init|main|name|file|str|repr|len|new|call|del|dict|all|doc|eq|hash|iter|next|enter|exit)__(?!\w)"
 )
 #: Markup tokens, by kind.
 _TOKENS = {
@@ -60,18 +64,18 @@ _TOKENS = {
         re.I,
     ),
     "wiki": re.compile(
-        r"\[\[|\]\]|\{\{|\}\}|(?<!')'{2,5}(?!')|\{\||^\|\}|^\|-|^\|\+|^!\s|\|\||__[A-Z]{3,}__|^={1,6}[^=\n].*?={1,6}\s*$|(?<!=)==(?=[^\s=])[^=\n]{1,120}(?<=[^\s=])==(?!=)"
+        r"\[\[|\]\]|\{\{|\}\}|(?<!')'{2,5}(?!')|\{\||^\|\}|^\|-|^\|\+|^!\s|\|\||__[A-Z]{3,}__|^={1,6}[^=\n].*?={1,6}\s*$|(?<!=)==(?=[^\s=])[^=\n]+(?<=[^\s=])==(?!=)"
         r"|^={2,6}\s*\w[^=\n]*$|^#(?:REDIRECT|redirect)\b|\[(?:https?|ftp)://|\|(?:thumb|left|right|center|frame|frameless|\d+px)\b|^:+\s*\S|^;\s*\S|^[*#]+[*#:;]+\s*\S|^\#\s\S|~{4,5}",
         re.M,
     ),
     "markdown": re.compile(
         r"^\s{0,3}\#{1,6}\s+\S|^\s{0,3}[-+*]\s+\S|^\s{0,3}>\s|^\s{0,3}(?:`{3,}|~{3,})|^(?:-{3,}|={3,}|\*{3,}|_{3,})\s*$|!\[|\]\(|\]\[|^\[[^\]\n]+\]:\s|\[\^[^\]\n]+\]"
-        r"|`[^`\n]+`|``|\*\*(?=\S)|(?<=\S)\*\*|(?<![\w*])\*(?=[^\s*])[^*\n]{1,200}?(?<=[^\s*])\*(?![\w*])|~~|(?<!\w)__(?=[^\s_])[^\n]{1,200}?(?<=[^\s_])__(?!\w)"
-        r"|(?<![\w_])_(?=[^\s_])[^_\n]{1,200}(?<=[^\s_])_(?![\w_])|^\s*\|.*\|\s*$|\\[*_`\#\[\]!>~]",
+        r"|`[^`\n]+`|``|\*\*(?=\S)|(?<=\S)\*\*|(?<![\w*])\*(?=[^\s*])[^*\n]+?(?<=[^\s*])\*(?![\w*])|~~|(?<!\w)__(?=[^\s_])[^\n]+?(?<=[^\s_])__(?!\w)"
+        r"|(?<![\w_])_(?=[^\s_])[^_\n]+(?<=[^\s_])_(?![\w_])|^\s*\|.*\|\s*$|\\[*_`\#\[\]!>~]",
         re.M,
     ),
     "latex": re.compile(
-        r"\\[A-Za-z]{2,}\*?|\\[a-zA-Z](?=\{)|\\[\[\](),;:!%&$\#{}]|\\\\|\$\$|(?<![\\$\w])\$(?=[^\s$\d])[^$\n]{1,200}(?<=[^\s$])\$(?![\w$])|(?<![\\$\w])\$(?=\d)[^$\n ]*[\\^_{}=][^$\n]*(?<=[^\s$])\$(?![\w$])"
+        r"\\[A-Za-z]{2,}\*?|\\[a-zA-Z](?=\{)|\\[\[\](),;:!%&$\#{}]|\\\\|\$\$|(?<![\\$\w])\$(?=[^\s$\d])[^$\n]+(?<=[^\s$])\$(?![\w$])|(?<![\\$\w])\$(?=\d)[^$\n ]*[\\^_{}=][^$\n]*(?<=[^\s$])\$(?![\w$])"
         r"|(?<=\w)~(?=\s|\w|$)|``[^`'\n]+''|^%\s",
         re.M,
     ),
@@ -113,37 +117,51 @@ _COMMENT = re.compile(rf"<!--(?:(?:(?!<!--).)*?-->|.*?(?=<!--|{_BREAK}|\Z))", re
 _TAG = re.compile(rf"<(/?)({_NAMES})(?=[\s/>])([^<>]*?)(/?)>", re.I)
 
 
+_CATEGORY = re.compile(r"\[\[(?:Category|Kategorie|Catégorie|Categoría|Категория|カテゴリ)\s*:[^\[\]]*\]\]", re.I)
+_PICTURE = re.compile(r"\[\[(?:File|Image|Datei|Bild|Fichier|Archivo|Imagen|Файл|ファイル)\s*:(?:[^\[\]|]*\|)*([^\[\]|]*)\]\]", re.I)
+#: Last parts of a picture that are no caption: its name or an option.
+_OPTION = re.compile(r"(?:thumb(?:nail)?|left|right|center|none|frame(?:less|d)?|border|upright(?:=[\d.]+)?|\d*x?\d+px|(?:alt|link|class|lang)=.*|[^|]*\.(?:jpe?g|png|gif|svg|tiff?|webp|pdf|og[gvm]))?", re.I)
+
+
 def _inline(text: str) -> str:
     """Text of inline markup, without its marks."""
     s = _COMMENT.sub("", text)
     s = re.sub(r"<ref\b[^<>]*/>|<ref\b[^<>]*>.*?</ref\s*>|</?ref\b[^<>]*>?", "", s, flags=re.S | re.I)
     s = re.sub(r"\\(?:begin|end)\{[^{}]*\}", "", s)
-    for _ in range(4):  # nested templates from the inside out
+    s = re.sub(r"\{\{\s*(?:convert|cvt)\s*\|([^{}|]*)\|([^{}|]*)[^{}]*\}\}", r"\1 \2", s)
+    while True:  # nested templates from the inside out
         s, n = re.subn(r"\{\{\s*(?:lang|nowrap|abbr)\s*\|(?:[^{}|]*\|)?([^{}|]*)\}\}", r"\1", s)
         s, m = re.subn(r"\{\{[^{}]*\}\}", "", s)
         if not n + m:
             break
-    s = re.sub(r"\[\[(?:Category|File|Image|Kategorie|Datei|Catégorie|Fichier|Categoría|Archivo|Категория|Файл|カテゴリ|ファイル)\s*:[^\[\]]*\]\]", "", s, flags=re.I)
-    s = re.sub(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", r"\1", s)
+    while True:  # links from the inside out; of a picture its caption stays
+        s, n = re.subn(_CATEGORY, "", s)
+        s, m = re.subn(_PICTURE, lambda g: " " if _OPTION.fullmatch(g[1].strip()) else f" {g[1].strip()} ", s)
+        s, k = re.subn(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", r"\1", s)
+        if not n + m + k:
+            break
     s = re.sub(r"\[(?:https?|ftp)://\S+\s+([^\]]*)\]", r"\1", s)
     s = re.sub(r"!?\[([^\]\n]*)\]\([^()\s]*(?:\s+\"[^\"]*\")?\)", r"\1", s)
     s = re.sub(r"\[\^[^\]\n]*\]|^\[[^\]\n]+\]:\s.*$", "", s, flags=re.M)
     s = re.sub(r"\\href\{[^{}]*\}\{([^{}]*)\}", r"\1", s)
     s = re.sub(r"\\(?:footnote|cite[tp]?|label|ref|eqref|index|includegraphics|usepackage|documentclass)\*?(?:\[[^\]]*\])?\{[^{}]*\}", "", s)
-    for _ in range(3):
+    while True:
         s, n = re.subn(r"\\[A-Za-z]+\*?(?:\[[^\]]*\])?\{([^{}]*)\}", r"\1", s)
         if not n:
             break
     s = re.sub(r"\\([%&$\#_{}*`\[\]!>~])", r"\1", s)
     s = re.sub(r"(?<![\w:\\])\\[A-Za-z]{2,}\*?\{?(?![\\\w])", "", s)
-    s = re.sub(r"(?<!')'{2,5}(?!')|__[A-Z]{3,}__|\*\*|~~+|`+|\[\[|\]\]|\{\{|\}\}|\|(?:thumb|left|right|center|frame|frameless|\d+px)(?:\||\b)", "", s)
-    s = re.sub(r"(?<!=)==(?=[^\s=])([^=\n]{1,120})(?<=[^\s=])==(?!=)", r"\1", s)
+    s = re.sub(r"(?<!')'{2,5}(?!')|__[A-Z]{3,}__|\*\*(?=\S)|(?<=\S)\*\*|~~+|`+|\[\[|\]\]|\{\{|\}\}|\|(?:thumb|left|right|center|frame|frameless|\d+px)(?:\||\b)", "", s)
+    s = re.sub(r"(?<!=)==(?=[^\s=])([^=\n]+)(?<=[^\s=])==(?!=)", r"\1", s)
     s = re.sub(r"(?<![\w*])\*(?=[^\s*])([^*\n]+?)(?<=[^\s*])\*(?![\w*])", r"\1", s)
     s = re.sub(r"(?<![\w_])(_{1,2})(?=[^\s_])([^\n]+?)(?<=[^\s_])\1(?![\w_])", r"\2", s)
     s = re.sub(r"(?<=\w)~(?=\s|\w|$)", " ", s)
     return html.unescape(s)
 
 
+_CLASS = re.compile(r"\b(?:class|id)\s*=\s*[\"']?\s*([\w-]+)", re.I)
+
+
 def _unclosed(text: str) -> set[int]:
     """Places of the opening tags of dropped elements that no closing tag follows."""
     opened = defaultdict(list)
@@ -161,6 +179,7 @@ def _unclosed(text: str) -> set[int]:
 def _html_nodes(text: str, wiki: bool = False) -> Iterator[Node]:
     """Nodes of a text with HTML elements; unknown angle brackets are text, unclosed and stray tags are tolerated."""
     stack: list[str] = []
+    classes: list[str] = []  # of the same elements, as they stand in a path
     buffer: list[str] = []
     cells: list[str] = []
 
@@ -169,7 +188,7 @@ def _html_nodes(text: str, wiki: bool = False) -> Iterator[Node]:
         buffer.clear()
         if any(t in DROPPED for t in stack) or not piece.strip():
             return
-        path = "/".join(["html", *[t for t in stack if t not in INLINE]])
+        path = "/".join(["html", *[t + c for t, c in zip(stack, classes) if t not in INLINE]])
         heads = [t for t in stack if t in HEADINGS]
         if any(t in ("td", "th") for t in stack):
             cells.append(" ".join(piece.split()))
@@ -193,7 +212,7 @@ def _html_nodes(text: str, wiki: bool = False) -> Iterator[Node]:
     for m in _TAG.finditer(text):
         take(text[last : m.start()])
         last = m.end()
-        closing, name, _, empty = m.groups()
+        closing, name, attributes, empty = m.groups()
         name = name.lower()
         skipping = m.start() in unclosed or (skipping and (name == "br" or name in INLINE or name in DROPPED))
         if name == "br":
@@ -208,12 +227,17 @@ def _html_nodes(text: str, wiki: bool = False) -> Iterator[Node]:
                 cells.clear()
         if closing:
             if name in stack:
-                while stack.pop() != name:
-                    pass
+                while True:
+                    classes.pop()
+                    if stack.pop() == name:
+                        break
         elif not empty and name not in EMPTY and m.start() not in unclosed:
             if name in ("p", "li", "td", "th", "tr") and stack and stack[-1] == name:
                 stack.pop()
+                classes.pop()
             stack.append(name)
+            label = _CLASS.search(attributes)
+            classes.append(f".{label[1]}" if label else "")
     take(text[last:])
     yield from flush()
     if cells:
@@ -239,7 +263,7 @@ def _line_nodes(text: str, root: str = "", wiki: bool = False) -> Iterator[Node]
     """Nodes of a text whose structure is in its lines: wiki, Markdown and LaTeX; in wiki text ``#`` counts items."""
     lines = text.split("\n")
     paragraph: list[str] = []
-    in_table = False
+    in_table = in_tabular = False
     cells: list[str] = []
 
     def flush(kind: str = "text") -> Iterator[Node]:
@@ -273,7 +297,9 @@ def _line_nodes(text: str, root: str = "", wiki: bool = False) -> Iterator[Node]
                 else:
                     yield Node(f"{root}/table/row", "row", 1, "\t".join(parts))
                 continue
-        if re.search(r"\s&\s.*\\\\\s*(?:\\hline)?$", bare):
+        if re.match(r"\\(begin|end)\{(?:tabular|array|longtable)", bare):
+            in_tabular = bare.startswith("\\begin")
+        elif re.search(r"\s&\s.*\\\\\s*(?:\\hline)?$", bare) or (in_tabular and " & " in bare):
             yield from flush()
             yield Node(f"{root}/table/row", "row", 1, "\t".join(re.sub(r"\\\\\s*(?:\\hline)?$", "", bare).split(" & ")))
             continue
@@ -320,38 +346,54 @@ def _line_nodes(text: str, root: str = "", wiki: bool = False) -> Iterator[Node]
     yield from flush()
 
 
-def content_nodes(nodes: list[Node], keep_share: float = 0.1) -> list[Node]:
+#: A path is boilerplate only below this share of the mean fused ratio.
+KEEP_SHARE = 0.1
+
+
+def content_nodes(nodes: list[Node], keep_share: float = KEEP_SHARE) -> list[Node]:
     """Nodes that are content by their tag-path ratios.
 
-    Per path: characters per node and punctuation marks per node, each smoothed by a Gaussian over the node sequence and scaled by its
-    mean; their product is the score.  A node of plain text, or an item of a menu in ``nav``, whose path has a navigation element is
-    boilerplate if its score is below ``keep_share`` of the mean score or its path has no punctuation.  Other kinds always stay.
+    Per path, tags with their classes: characters per node and punctuation marks per node, each smoothed by a Gaussian over the node
+    sequence and scaled by its mean; their product, the median over the path's nodes, is its score.  Text of a path that scores below
+    ``keep_share`` of the mean and has no punctuation is boilerplate; below a navigation-like element, and for the items of a menu in
+    ``nav``, one of the two is enough.  Headings, other items, rows, captions, code and formulas stay by their kind.
     """
     if not nodes:
         return nodes
-    size, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
-    for n in nodes:
-        size[n.path] += len(n.text)
-        marks[n.path] += len(_PUNCTUATION.findall(n.text))
-        count[n.path] += 1
-    text_ratio = np.array([size[n.path] / count[n.path] for n in nodes])
-    mark_ratio = np.array([(marks[n.path] + 0.1) / count[n.path] for n in nodes])
+    paths = {p: i for i, p in enumerate(dict.fromkeys(n.path for n in nodes))}
+    at = np.array([paths[n.path] for n in nodes])
+    lengths = np.array([len(n.text) for n in nodes], float)
+    punctuation = np.array([len(_PUNCTUATION.findall(n.text)) for n in nodes], float)
+    count = np.bincount(at)
+    marks = np.bincount(at, punctuation)
+    text_ratio = (np.bincount(at, lengths) / count)[at]
+    mark_ratio = ((marks + 0.1) / count)[at]
     kernel = np.exp(-0.5 * np.arange(-1, 2) ** 2)
     kernel /= kernel.sum()
     smooth = lambda x: np.convolve(np.pad(x, 1, mode="edge"), kernel, mode="valid")
     text_ratio, mark_ratio = smooth(text_ratio), smooth(mark_ratio)
     score = (text_ratio / text_ratio.mean()) * (mark_ratio / mark_ratio.mean())
+    weak = np.array([np.median(score[at == i]) for i in range(len(paths))])[at] < keep_share * score.mean()
     keep = []
-    for n, s in zip(nodes, score):
-        tags = set(n.path.split("/"))
-        weak = s < keep_share * score.mean()
+    for n, i, low in zip(nodes, at, weak):
+        tags = {t.partition(".")[0] for t in n.path.split("/")}
         menu = n.kind == "item" and "nav" in tags
-        if (n.kind == "text" or menu) and tags & BOILERPLATE and (weak or not marks[n.path]):
+        text = n.kind == "text" and "caption" not in tags and not _KEPT.search(n.text)
+        without = not marks[i]
+        if (text or menu) and ((low or without) if tags & BOILERPLATE else (low and without)):
             continue
         keep.append(n)
     return keep
 
 
+def _infobox_rows(m) -> str:
+    """The fields of an infobox as rows of a table; fields without value are left out."""
+    links = re.sub(r"\[\[[^\[\]]*\]\]", lambda g: g.group().replace("|", "\ue004"), m[1])
+    fields = (f.partition("=") for f in links.split("|")[1:])
+    rows = [f"| {k.strip()} | {v.strip()} |" for k, _, v in fields if v.strip() and "\n" not in v.strip()]
+    return "\n" + "\n".join(rows).replace("\ue004", "|") + "\n\n" if not any("\ue004" in x for x in rows) else "\n" + "\n".join(re.sub("\\[\\[[^\\[\\]\ue004]*\ue004([^\\[\\]]*)\\]\\]", r"\1", x) for x in rows) + "\n\n"
+
+
 def clean(text: str, kinds: set[str] | None = None) -> tuple[str, dict[str, int]]:
     """Clean text and the number of headings, items, rows, code blocks and formulas.  A text without markup stays as it is.
 
@@ -379,7 +421,7 @@ def clean(text: str, kinds: set[str] | None = None) -> tuple[str, dict[str, int]
     hidden = _COMMENT.sub("", hidden)
     hidden = re.sub(r"<(script|style)\b[^<>]*>.*?</\1\s*>", "", hidden, flags=re.S | re.I)
     hidden = re.sub(r"<ref\b[^<>]*/>|<ref\b[^<>]*>.*?</ref\s*>", "", hidden, flags=re.S | re.I)
-    hidden = re.sub(r"\{\{\s*Infobox[^{}]*\}\}", "", hidden, flags=re.S)
+    hidden = re.sub(r"\{\{\s*Infobox([^{}]*)\}\}", _infobox_rows, hidden, flags=re.S | re.I)
     wiki = len(_WIKI_SIGN.findall(text)) > len(_MARKDOWN_SIGN.findall(text))
     nodes = list(_html_nodes(hidden, wiki) if _TAG.search(hidden) else _line_nodes(hidden, "", wiki))
     out: list[str] = []
@@ -413,18 +455,29 @@ def clean(text: str, kinds: set[str] | None = None) -> tuple[str, dict[str, int]
     return "".join(b for _, b in out).strip("\n"), counts
 
 
+def parsed(text: str) -> tuple[str, str, dict[str, int]]:
+    """(kinds of markup, clean text, structure) of a text.
+
+    A text holds markup if its nodes' text differs from it in more than white space: every text is parsed, whether or not a token of
+    markup is seen in it.  The tokens only name the kinds, 'other' where none does.  A text without markup stays as it is.
+    """
+    kinds = markup_kinds(text)
+    cleaned, counts = clean(text, kinds or {"other"})
+    if cleaned.split() == text.split():
+        return "", text, dict.fromkeys(counts, 0)
+    return ",".join(sorted(kinds or {"other"})), cleaned, counts
+
+
 def _solve(text_column: str, id_column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(text_column).to_pylist()
-            kinds = [None if t is None else sorted(markup_kinds(t)) for t in texts]
-            done = [(None, {}) if t is None else clean(t, k) if k else (t, {}) for t, k in zip(texts, kinds)]
-            column = lambda name: pa.array([c.get(name, 0) for _, c in done], pa.int32())
+            done = [(None, None, {}) if t is None else parsed(t) for t in b.column(text_column).to_pylist()]
+            column = lambda name: pa.array([c.get(name, 0) for _, _, c in done], pa.int32())
             yield pa.RecordBatch.from_pydict(
                 {
                     id_column: b.column(id_column),
-                    "markup": pa.array([None if k is None else ",".join(k) for k in kinds], pa.string()),
-                    "clean_text": pa.array([c for c, _ in done], pa.string()),
+                    "markup": pa.array([k for k, _, _ in done], pa.string()),
+                    "clean_text": pa.array([c for _, c, _ in done], pa.string()),
                     "headings": column("heading"), "items": column("item"), "rows": column("row"),
                     "code_blocks": column("code"), "formulas": column("formula"),
                 }

@@ -103,7 +103,9 @@ def p8_fill_each(spark: SparkSession, d: str) -> DataFrame:
 def _mixture(spark: SparkSession, d: str) -> tuple[DataFrame, list[Target], dict[str, int]]:
     rows = table(spark, d, "mix_target").collect()  # one row per target source
     targets = [Target(r["source"], r["target_share"], r["max_repeats"]) for r in rows if r["source"] is not None]
-    chosen, quotas = mix(_sized(spark, d), targets)
+    # Hashes instead of texts: equal texts are one document, and each is tokenized once, before anything is filtered by its size.
+    sized = _sized(spark, d).select("doc_id", "source", "tokens", F.md5("text").alias("text"))
+    chosen, quotas = mix(Scratch(spark, "sized").write(sized, "tokens"), targets)
     return chosen, targets, quotas
 
 

@@ -89,6 +89,28 @@ def test_boilerplate_paths_fall_out():
     assert content_nodes([]) == []
 
 
+def test_ratios_decide_on_any_path():
+    menu = "".join(f"<div class='menu'>{x}</div>" for x in ("Home", "About us", "Contact"))
+    page = menu + "<p>The mill was built in 1902, and it burned. It was rebuilt, larger than before; many came.</p><aside>The river, which floods in spring, drove the wheel.</aside>"
+    assert clean(page)[0].split("\n\n") == ["The mill was built in 1902, and it burned. It was rebuilt, larger than before; many came.", "The river, which floods in spring, drove the wheel."]
+    content = [Node("html/p", "text", 0, "Long text, with marks; " * 9), Node("html/p", "text", 0, "More text, with marks. " * 9)]
+    nodes = [*[Node("html/div.a", "text", 0, "Short") for _ in range(3)], *content]
+    assert len(content_nodes(nodes, 0.1)) == 2 and len(content_nodes(nodes, 0.0)) == 5
+    longer = [Node("html/div.a", "text", 0, "A text of the same path, as long as others, with marks. " * 4), *nodes]
+    assert len(content_nodes(longer, 0.1)) == 6
+
+
+def test_templates_pictures_and_open_rows_keep_their_content():
+    assert clean("It lies {{convert|5|km|mi}} north of '''it'''")[0] == "It lies 5 km north of it"
+    assert clean("x [[File:a.jpg|thumb|A view of [[Rome]] at dusk]] y")[0] == "x A view of Rome at dusk y"
+    assert clean("x [[File:a.jpg|thumb]] y [[Image:b.png]]")[0] == "x y" and clean("'''a''' 2 ** 8 is")[0] == "a 2 ** 8 is"
+    assert clean("\\begin{tabular}{ll}\n1 & 2 \\\\\n3 & 4\n\\end{tabular}")[0] == "1\t2\n3\t4"
+    assert clean("{{Infobox mill\n| name = Old [[Mill|mill]]\n| built = 1902\n| none =\n}}\nThe '''mill'''.")[0] == "name\tOld mill\nbuilt\t1902\n\nThe mill."
+    assert clean("{{a|" * 7 + "x" + "}}" * 7 + "text '''b'''")[0] == "text b" and clean("\\emph{" * 6 + "deep" + "}" * 6)[0] == "deep"
+    for text in ("if (a || b) return", "cited in [1][2] there", "call __init__ now"):
+        assert not markup_kinds(text) and clean(text)[0] == text
+
+
 def test_unclosed_elements_and_comments_end_at_a_block():
     assert clean("<p>One.</p><embed src='x'>two<p>Three.</p>")[0] == "One.\n\ntwo\n\nThree."
     for broken in ("<script>f(1)", "<iframe src='x'>g", "<option>h", "<!-- i", "<svg><b>j</b>"):
