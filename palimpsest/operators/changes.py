@@ -21,7 +21,7 @@ from palimpsest.scratch import Scratch, delete_path, hadoop_fs
 TREE_SCHEMA = "level int, node long, digest long, rows long"
 
 
-def merkle_tree(rows: DataFrame, key: str, version: list[str], leaf_width: int = 1024, fanout: int = 16, levels: int = 6) -> DataFrame:
+def merkle_tree(rows: DataFrame, key: str, version: list[str], leaf_width: int = 1024, fanout: int = 64, levels: int = 3) -> DataFrame:
     """(level, node, digest, rows); level 0 holds the leaves, ``levels`` the topmost nodes.
 
     A leaf's digest combines the 64-bit hashes of its rows as exact sums, so it does not depend on row order and is partly combined
@@ -48,7 +48,7 @@ def merkle_tree(rows: DataFrame, key: str, version: list[str], leaf_width: int =
     )
 
 
-def changed_leaves(current: DataFrame, saved: DataFrame, scratch: Scratch, fanout: int = 16, levels: int = 6) -> DataFrame:
+def changed_leaves(current: DataFrame, saved: DataFrame, scratch: Scratch, fanout: int = 64, levels: int = 3) -> DataFrame:
     """(leaf) of the key ranges whose digests differ; both trees must be materialised.
 
     From the topmost level down, only children of differing nodes are compared; each level's differing nodes are a short table.
@@ -125,8 +125,10 @@ class MerkleState:
         at = f"{self.root}/{name}"
         merkle_tree(now, key, self.version, self.leaf_width).write.parquet(f"{at}/tree")
         tree = self.spark.read.schema(TREE_SCHEMA).parquet(f"{at}/tree")
-        old_tree = self.spark.read.schema(TREE_SCHEMA).parquet(f"{self.root}/{state['tree']}") if base else self.spark.createDataFrame([], TREE_SCHEMA)
-        leaves = changed_leaves(tree, old_tree, scratch)
+        if base:
+            leaves = changed_leaves(tree, self.spark.read.schema(TREE_SCHEMA).parquet(f"{self.root}/{state['tree']}"), scratch)
+        else:  # nothing is saved: every leaf is new
+            leaves = tree.where("level = 0").select(F.col("node").alias("leaf"))
         part = F.floor(F.col("leaf") / F.lit(self.part_width)).cast("long")
         touched = leaves.select(part.alias("part")).distinct()
         numbers = {r[0] for r in touched.collect()}  # one per part_width x leaf_width keys

@@ -138,7 +138,7 @@ class SessionStore:
             old = self._cells(self._read(list(met.values())), 0)
             touched = scratch.write(old.join(near, ["actor", "cell"], "left_semi").select(*SPAN).distinct(), "touched")
             merged = merge_spans(merged.unionByName(touched), self.gap, self.cell, scratch)
-            affected = {*self._extents(merged), *self._extents(touched)}
+            affected = set(self._extents(merged.unionByName(touched)))
         changed = affected & set(stored)
         if changed:  # the other sessions of these periods are written again beside the new ones
             kept = self._read([stored[n] for n in changed])
