@@ -17,6 +17,7 @@ import html
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -117,6 +118,35 @@ _COMMENT = re.compile(rf"<!--(?:(?:(?!<!--).)*?-->|.*?(?=<!--|{_BREAK}|\Z))", re
 _TAG = re.compile(rf"<(/?)({_NAMES})(?=[\s/>])([^<>]*?)(/?)>", re.I)
 
 
+_S, _I, _M, _SI = int(re.S), int(re.I), int(re.M), int(re.S | re.I)
+#: Forms are compiled once per process: looking them up in the library's own cache costs more than most searches.
+_form = lru_cache(maxsize=None)(re.compile)
+
+
+def _sub(form, new, text, flags=0):
+    return _form(form, flags).sub(new, text) if isinstance(form, str) else form.sub(new, text)
+
+
+def _subn(form, new, text, flags=0):
+    return _form(form, flags).subn(new, text) if isinstance(form, str) else form.subn(new, text)
+
+
+def _match(form, text):
+    return _form(form).match(text)
+
+
+def _search(form, text):
+    return _form(form).search(text)
+
+
+def _fullmatch(form, text):
+    return _form(form).fullmatch(text)
+
+
+def _split(form, text, maxsplit=0):
+    return _form(form).split(text, maxsplit)
+
+
 _CATEGORY = re.compile(r"\[\[(?:Category|Kategorie|Catégorie|Categoría|Категория|カテゴリ)\s*:[^\[\]]*\]\]", re.I)
 _PICTURE = re.compile(r"\[\[(?:File|Image|Datei|Bild|Fichier|Archivo|Imagen|Файл|ファイル)\s*:(?:[^\[\]|]*\|)*([^\[\]|]*)\]\]", re.I)
 #: Last parts of a picture that are no caption: its name or an option.
@@ -126,36 +156,36 @@ _OPTION = re.compile(r"(?:thumb(?:nail)?|left|right|center|none|frame(?:less|d)?
 def _inline(text: str) -> str:
     """Text of inline markup, without its marks."""
     s = _COMMENT.sub("", text)
-    s = re.sub(r"<ref\b[^<>]*/>|<ref\b[^<>]*>.*?</ref\s*>|</?ref\b[^<>]*>?", "", s, flags=re.S | re.I)
-    s = re.sub(r"\\(?:begin|end)\{[^{}]*\}", "", s)
-    s = re.sub(r"\{\{\s*(?:convert|cvt)\s*\|([^{}|]*)\|([^{}|]*)[^{}]*\}\}", r"\1 \2", s)
+    s = _sub(r"<ref\b[^<>]*/>|<ref\b[^<>]*>.*?</ref\s*>|</?ref\b[^<>]*>?", "", s, flags=_SI)
+    s = _sub(r"\\(?:begin|end)\{[^{}]*\}", "", s)
+    s = _sub(r"\{\{\s*(?:convert|cvt)\s*\|([^{}|]*)\|([^{}|]*)[^{}]*\}\}", r"\1 \2", s)
     while True:  # nested templates from the inside out
-        s, n = re.subn(r"\{\{\s*(?:lang|nowrap|abbr)\s*\|(?:[^{}|]*\|)?([^{}|]*)\}\}", r"\1", s)
-        s, m = re.subn(r"\{\{[^{}]*\}\}", "", s)
+        s, n = _subn(r"\{\{\s*(?:lang|nowrap|abbr)\s*\|(?:[^{}|]*\|)?([^{}|]*)\}\}", r"\1", s)
+        s, m = _subn(r"\{\{[^{}]*\}\}", "", s)
         if not n + m:
             break
     while True:  # links from the inside out; of a picture its caption stays
-        s, n = re.subn(_CATEGORY, "", s)
-        s, m = re.subn(_PICTURE, lambda g: " " if _OPTION.fullmatch(g[1].strip()) else f" {g[1].strip()} ", s)
-        s, k = re.subn(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", r"\1", s)
+        s, n = _subn(_CATEGORY, "", s)
+        s, m = _subn(_PICTURE, lambda g: " " if _OPTION.fullmatch(g[1].strip()) else f" {g[1].strip()} ", s)
+        s, k = _subn(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", r"\1", s)
         if not n + m + k:
             break
-    s = re.sub(r"\[(?:https?|ftp)://\S+\s+([^\]]*)\]", r"\1", s)
-    s = re.sub(r"!?\[([^\]\n]*)\]\([^()\s]*(?:\s+\"[^\"]*\")?\)", r"\1", s)
-    s = re.sub(r"\[\^[^\]\n]*\]|^\[[^\]\n]+\]:\s.*$", "", s, flags=re.M)
-    s = re.sub(r"\\href\{[^{}]*\}\{([^{}]*)\}", r"\1", s)
-    s = re.sub(r"\\(?:footnote|cite[tp]?|label|ref|eqref|index|includegraphics|usepackage|documentclass)\*?(?:\[[^\]]*\])?\{[^{}]*\}", "", s)
+    s = _sub(r"\[(?:https?|ftp)://\S+\s+([^\]]*)\]", r"\1", s)
+    s = _sub(r"!?\[([^\]\n]*)\]\([^()\s]*(?:\s+\"[^\"]*\")?\)", r"\1", s)
+    s = _sub(r"\[\^[^\]\n]*\]|^\[[^\]\n]+\]:\s.*$", "", s, flags=_M)
+    s = _sub(r"\\href\{[^{}]*\}\{([^{}]*)\}", r"\1", s)
+    s = _sub(r"\\(?:footnote|cite[tp]?|label|ref|eqref|index|includegraphics|usepackage|documentclass)\*?(?:\[[^\]]*\])?\{[^{}]*\}", "", s)
     while True:
-        s, n = re.subn(r"\\[A-Za-z]+\*?(?:\[[^\]]*\])?\{([^{}]*)\}", r"\1", s)
+        s, n = _subn(r"\\[A-Za-z]+\*?(?:\[[^\]]*\])?\{([^{}]*)\}", r"\1", s)
         if not n:
             break
-    s = re.sub(r"\\([%&$\#_{}*`\[\]!>~])", r"\1", s)
-    s = re.sub(r"(?<![\w:\\])\\[A-Za-z]{2,}\*?\{?(?![\\\w])", "", s)
-    s = re.sub(r"(?<!')'{2,5}(?!')|__[A-Z]{3,}__|\*\*(?=\S)|(?<=\S)\*\*|~~+|`+|\[\[|\]\]|\{\{|\}\}|\|(?:thumb|left|right|center|frame|frameless|\d+px)(?:\||\b)", "", s)
-    s = re.sub(r"(?<!=)==(?=[^\s=])([^=\n]+)(?<=[^\s=])==(?!=)", r"\1", s)
-    s = re.sub(r"(?<![\w*])\*(?=[^\s*])([^*\n]+?)(?<=[^\s*])\*(?![\w*])", r"\1", s)
-    s = re.sub(r"(?<![\w_])(_{1,2})(?=[^\s_])([^\n]+?)(?<=[^\s_])\1(?![\w_])", r"\2", s)
-    s = re.sub(r"(?<=\w)~(?=\s|\w|$)", " ", s)
+    s = _sub(r"\\([%&$\#_{}*`\[\]!>~])", r"\1", s)
+    s = _sub(r"(?<![\w:\\])\\[A-Za-z]{2,}\*?\{?(?![\\\w])", "", s)
+    s = _sub(r"(?<!')'{2,5}(?!')|__[A-Z]{3,}__|\*\*(?=\S)|(?<=\S)\*\*|~~+|`+|\[\[|\]\]|\{\{|\}\}|\|(?:thumb|left|right|center|frame|frameless|\d+px)(?:\||\b)", "", s)
+    s = _sub(r"(?<!=)==(?=[^\s=])([^=\n]+)(?<=[^\s=])==(?!=)", r"\1", s)
+    s = _sub(r"(?<![\w*])\*(?=[^\s*])([^*\n]+?)(?<=[^\s*])\*(?![\w*])", r"\1", s)
+    s = _sub(r"(?<![\w_])(_{1,2})(?=[^\s_])([^\n]+?)(?<=[^\s_])\1(?![\w_])", r"\2", s)
+    s = _sub(r"(?<=\w)~(?=\s|\w|$)", " ", s)
     return html.unescape(s)
 
 
@@ -204,7 +234,7 @@ def _html_nodes(text: str, wiki: bool = False) -> Iterator[Node]:
     def take(piece: str) -> None:
         nonlocal skipping
         if skipping:  # after an unclosed dropped element, up to a blank line
-            rest = re.split(r"\n\s*\n", piece, maxsplit=1)
+            rest = _split(r"\n\s*\n", piece, maxsplit=1)
             skipping, piece = len(rest) == 1, "\n\n".join(["", *rest[1:]])
         buffer.append(piece)
 
@@ -280,8 +310,8 @@ def _line_nodes(text: str, root: str = "", wiki: bool = False) -> Iterator[Node]
             yield from flush()
             in_table = True
             continue
-        if in_table or re.match(r"^\|.*\|$", bare):
-            if bare.startswith(("|}", "|-", "|+")) or re.fullmatch(r"[|\s:-]+", bare):
+        if in_table or _match(r"^\|.*\|$", bare):
+            if bare.startswith(("|}", "|-", "|+")) or _fullmatch(r"[|\s:-]+", bare):
                 if cells:
                     yield Node(f"{root}/table/row", "row", 1, "\t".join(cells))
                     cells.clear()
@@ -291,33 +321,33 @@ def _line_nodes(text: str, root: str = "", wiki: bool = False) -> Iterator[Node]
                 continue
             if bare[0] in "|!":
                 yield from flush()
-                parts = [p.strip() for p in re.split(r"\|\||!!|(?<=.)\|(?=.)", bare.strip("|!"))]
+                parts = [p.strip() for p in _split(r"\|\||!!|(?<=.)\|(?=.)", bare.strip("|!"))]
                 if in_table:
                     cells.extend(parts)
                 else:
                     yield Node(f"{root}/table/row", "row", 1, "\t".join(parts))
                 continue
-        if re.match(r"\\(begin|end)\{(?:tabular|array|longtable)", bare):
+        if _match(r"\\(begin|end)\{(?:tabular|array|longtable)", bare):
             in_tabular = bare.startswith("\\begin")
-        elif re.search(r"\s&\s.*\\\\\s*(?:\\hline)?$", bare) or (in_tabular and " & " in bare):
+        elif _search(r"\s&\s.*\\\\\s*(?:\\hline)?$", bare) or (in_tabular and " & " in bare):
             yield from flush()
-            yield Node(f"{root}/table/row", "row", 1, "\t".join(re.sub(r"\\\\\s*(?:\\hline)?$", "", bare).split(" & ")))
+            yield Node(f"{root}/table/row", "row", 1, "\t".join(_sub(r"\\\\\s*(?:\\hline)?$", "", bare).split(" & ")))
             continue
-        if re.match(r"^%\s", bare):
+        if _match(r"^%\s", bare):
             continue
         section = _SECTION.match(line)
         if section:
             yield from flush()
             yield Node(f"{root}/section", "heading", _SECTION_LEVEL[section[1]], section[2])
             continue
-        if paragraph and len(paragraph) == 1 and re.fullmatch(r"={3,}|-{3,}", bare):
+        if paragraph and len(paragraph) == 1 and _fullmatch(r"={3,}|-{3,}", bare):
             title = paragraph.pop()
             yield Node(f"{root}/heading", "heading", 1 if bare[0] == "=" else 2, title)
             continue
-        if re.fullmatch(r"-{3,}|\*{3,}|_{3,}|={3,}", bare):
+        if _fullmatch(r"-{3,}|\*{3,}|_{3,}|={3,}", bare):
             yield from flush()
             continue
-        if re.match(r"^\\(?:begin|end)\{(?:itemize|enumerate|description|center|quote|abstract|document|table|tabular|figure)\}", bare) or re.fullmatch(
+        if _match(r"^\\(?:begin|end)\{(?:itemize|enumerate|description|center|quote|abstract|document|table|tabular|figure)\}", bare) or _fullmatch(
             r"\\(?:bigskip|medskip|smallskip|newpage|maketitle|centering|hline|noindent)", bare
         ):
             yield from flush()
@@ -337,7 +367,7 @@ def _line_nodes(text: str, root: str = "", wiki: bool = False) -> Iterator[Node]
                 yield Node(f"{root}/{kind}", kind, max(1, level), m[2])
                 break
         else:
-            paragraph.append(re.sub(r"^(?:\s{0,3}>\s?|:+\s*)", "", line))
+            paragraph.append(_sub(r"^(?:\s{0,3}>\s?|:+\s*)", "", line))
             continue
         if line != lines[i]:
             paragraph.append(line)
@@ -388,10 +418,10 @@ def content_nodes(nodes: list[Node], keep_share: float = KEEP_SHARE) -> list[Nod
 
 def _infobox_rows(m) -> str:
     """The fields of an infobox as rows of a table; fields without value are left out."""
-    links = re.sub(r"\[\[[^\[\]]*\]\]", lambda g: g.group().replace("|", "\ue004"), m[1])
+    links = _sub(r"\[\[[^\[\]]*\]\]", lambda g: g.group().replace("|", "\ue004"), m[1])
     fields = (f.partition("=") for f in links.split("|")[1:])
     rows = [f"| {k.strip()} | {v.strip()} |" for k, _, v in fields if v.strip() and "\n" not in v.strip()]
-    return "\n" + "\n".join(rows).replace("\ue004", "|") + "\n\n" if not any("\ue004" in x for x in rows) else "\n" + "\n".join(re.sub("\\[\\[[^\\[\\]\ue004]*\ue004([^\\[\\]]*)\\]\\]", r"\1", x) for x in rows) + "\n\n"
+    return "\n" + "\n".join(rows).replace("\ue004", "|") + "\n\n" if not any("\ue004" in x for x in rows) else "\n" + "\n".join(_sub("\\[\\[[^\\[\\]\ue004]*\ue004([^\\[\\]]*)\\]\\]", r"\1", x) for x in rows) + "\n\n"
 
 
 def clean(text: str, kinds: set[str] | None = None) -> tuple[str, dict[str, int]]:
@@ -411,7 +441,7 @@ def clean(text: str, kinds: set[str] | None = None) -> tuple[str, dict[str, int]
     def put_aside(mark: str):
         def replace(m):
             body = next((g for g in reversed(m.groups()) if g is not None), "")
-            kept.append(html.unescape(re.sub(r"</?code\b[^<>]*>", "", body)).strip("\n"))
+            kept.append(html.unescape(_sub(r"</?code\b[^<>]*>", "", body)).strip("\n"))
             return f"{mark}{len(kept) - 1}\ue002"
 
         return replace
@@ -419,15 +449,15 @@ def clean(text: str, kinds: set[str] | None = None) -> tuple[str, dict[str, int]
     for mark, form in _SET_ASIDE:
         hidden = form.sub(put_aside(mark), hidden)
     hidden = _COMMENT.sub("", hidden)
-    hidden = re.sub(r"<(script|style)\b[^<>]*>.*?</\1\s*>", "", hidden, flags=re.S | re.I)
-    hidden = re.sub(r"<ref\b[^<>]*/>|<ref\b[^<>]*>.*?</ref\s*>", "", hidden, flags=re.S | re.I)
-    hidden = re.sub(r"\{\{\s*Infobox([^{}]*)\}\}", _infobox_rows, hidden, flags=re.S | re.I)
+    hidden = _sub(r"<(script|style)\b[^<>]*>.*?</\1\s*>", "", hidden, flags=_SI)
+    hidden = _sub(r"<ref\b[^<>]*/>|<ref\b[^<>]*>.*?</ref\s*>", "", hidden, flags=_SI)
+    hidden = _sub(r"\{\{\s*Infobox([^{}]*)\}\}", _infobox_rows, hidden, flags=_SI)
     wiki = len(_WIKI_SIGN.findall(text)) > len(_MARKDOWN_SIGN.findall(text))
     nodes = list(_html_nodes(hidden, wiki) if _TAG.search(hidden) else _line_nodes(hidden, "", wiki))
     out: list[str] = []
     for n in content_nodes(nodes):
         body = _inline(n.text) if n.kind != "code" else "    " + html.unescape(n.text)
-        body = re.sub("\ue003(\\d+)\ue002", lambda m: ordinary[int(m[1])], body)
+        body = _sub("\ue003(\\d+)\ue002", lambda m: ordinary[int(m[1])], body)
         counts["code"] += body.count(_CODE)
         counts["formula"] += body.count(_FORMULA)
 
@@ -443,7 +473,7 @@ def clean(text: str, kinds: set[str] | None = None) -> tuple[str, dict[str, int]
         elif n.kind == "row":
             body = "\t".join(" ".join(c.split()) for c in body.split("\t"))
         else:
-            body = "\n".join(re.sub(r"[ \t]+", " ", x).strip() for x in body.split("\n")).strip("\n")
+            body = "\n".join(_sub(r"[ \t]+", " ", x).strip() for x in body.split("\n")).strip("\n")
         if not body.strip():
             continue
         counts[n.kind] = counts.get(n.kind, 0) + 1
