@@ -146,12 +146,13 @@ def _odd_endings(opened: DataFrame, rates: DataFrame, column: str, scratch: Scra
     seen = ends.where("plain").groupBy(column, "__end").agg(F.sum("c").alias("seen"))
     rows = rates.groupBy(column).agg(F.sum(F.when(F.col("plain"), F.col("n")).otherwise(0)).alias("plain_rows"))
     own = lambda name: F.when(F.col("plain"), F.col(name)).otherwise(0)
-    ends = ends.join(seen, [column, "__end"], "left").join(F.broadcast(rows), column)  # one row per column
+    ends = ends.join(seen.hint("merge"), [column, "__end"], "left").join(F.broadcast(rows), column)  # one row per column
     theirs, their_rows = F.coalesce("seen", F.lit(0)) - own("c"), F.col("plain_rows") - own("n")
     rarer = (their_rows > 0) & (theirs * F.col("n") < 0.2 * F.col("c") * their_rows)
     rare = scratch.write(ends.where(rarer & ((theirs == 0) | F.col("cutting") | (F.col("c") >= 3))).select("__src", column, "__end", "c"), "rare")
 
-    sums = rates.join(rare.groupBy("__src", column).agg(F.sum("c").alias("rare")), ["__src", column], "left").fillna(0, ["rare"])
+    sums = rare.groupBy("__src", column).agg(F.sum("c").alias("rare"))
+    sums = rates.join(sums.hint("merge"), ["__src", column], "left").fillna(0, ["rare"])
     chance = sums.groupBy(column).agg(F.sum(own("rare")).alias("plain_rare"), F.sum(own("n")).alias("plain_rows"))
     more = F.col("rare") * their_rows > 3 * F.col("n") * (F.col("plain_rare") - own("rare") + 1)
     tested = scratch.write(sums.join(F.broadcast(chance), column).where(F.col("cutting") | more).select("__src", column), "tested")
@@ -161,17 +162,18 @@ def _odd_endings(opened: DataFrame, rates: DataFrame, column: str, scratch: Scra
 def cut_titles(titles: DataFrame, known: DataFrame, *, title: str, name: str) -> DataFrame:
     """Distinct ``title`` values that are no known name but that a known name continues in mid-word or inside a bracket.
 
-    Underscores count as blanks.  Each known name is compared by its prefixes, so the work is linear in the text of the names.
+    Underscores count as blanks.  Each known name is compared by its prefixes, so the work is linear in the text of the names.  The
+    hints keep Spark, whose size estimate sees compressed files and no prefixes, from broadcasting names or prefixes.
     """
     plain = lambda c: F.trim(F.translate(c, "_", " "))
     names = known.where(F.col(name).isNotNull()).select(plain(F.col(name)).alias("name")).distinct()
     asked = titles.where(F.length(title) > 2).select(title, F.ltrim(F.translate(F.col(title), "_", " ")).alias("asked")).distinct()
-    unknown = asked.join(names, asked["asked"] == names["name"], "left_anti")
+    unknown = asked.join(names.hint("merge"), asked["asked"] == names["name"], "left_anti")
     sized = names.where(F.length("name") > 3).select("name", F.explode(F.sequence(F.lit(3), F.length("name") - 1)).alias("n"))
     prefix, following = F.col("name").substr(F.lit(1), F.col("n")), F.col("name").substr(F.col("n") + 1, F.lit(1))
     mid_word = prefix.rlike(r"[\p{L}\p{N}]$") & following.rlike(r"[\p{L}\p{N}]")
     prefixes = sized.where(mid_word | prefix.rlike(r"\([^)]*$")).select(prefix.alias("asked"))
-    return unknown.join(prefixes, "asked", "left_semi").select(title)
+    return unknown.join(prefixes.hint("merge"), "asked", "left_semi").select(title)
 
 
 def truncation_report(marked: DataFrame, source: str = "source", column: str = "column") -> DataFrame:

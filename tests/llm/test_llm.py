@@ -1,6 +1,7 @@
 """The text operators against brute force and fixtures, with nulls, empty and very long texts, ties, repeats and empty tables."""
 
 import random
+import re
 import sys
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -17,6 +18,7 @@ from palimpsest.llm.queries import QUERIES
 from palimpsest.llm.residue import _FAMILIES, HAMMING, label_of, residue_documents, sentences, shingles, simhash, without_residue
 from palimpsest.llm.tokens import token_count
 from palimpsest.llm.truncation import cut_titles, length_limits, measured, truncated_values, truncation_report
+from palimpsest.scratch import Scratch
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 from wordings import FIRST, ORDINARY, SECOND, THIRD  # noqa: E402
@@ -199,6 +201,27 @@ def test_cut_titles(spark):
     assert {r.t for r in got.collect()} == {"Former f", "Former_fest", "Old Mill (bre", "Have"}
 
 
+def test_names_and_prefixes_are_not_broadcast(spark, tmp_path):
+    # names whose files are far smaller than Spark's threshold, and whose prefixes are far larger
+    stem = "".join(chr(97 + i % 26) for i in range(200))
+    names = [f"{stem} {i:05d}" for i in range(3000)]
+    spark.createDataFrame([(n,) for n in names], "name string").coalesce(1).write.parquet(str(tmp_path / "names"))
+    spark.createDataFrame([(names[0][:100],), (names[1],), ("Unknown",)], "t string").coalesce(1).write.parquet(str(tmp_path / "asked"))
+    known, asked = spark.read.parquet(str(tmp_path / "names")), spark.read.parquet(str(tmp_path / "asked"))
+    got = cut_titles(asked, known, title="t", name="name")
+    assert {r.t for r in got.collect()} == {names[0][:100]}
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_join_of_p2_is_measured_or_a_merge(spark, monkeypatch):
+    plans, write = [], Scratch.write
+    seen = lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+    monkeypatch.setattr(Scratch, "write", lambda self, df, *a, **k: (seen(df), write(self, df, *a, **k))[1])
+    seen(QUERIES["p2_found"](spark, DATA))
+    joins = [line for plan in plans for line in plan.split("\n") if re.search(r"\bJoin (Inner|Left|Right|Full|Cross)", line)]
+    assert len(joins) > 5 and not [line for line in joins if "strategy=" not in line]
+
+
 # --- packing -------------------------------------------------------------------------------------------------------------------
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 30), max_size=20))
